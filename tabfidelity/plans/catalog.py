@@ -22,4 +22,4 @@ def query(sql: str | None = None):
     return add
 
 
-from . import q_assoc, q_dp, q_drift, q_privacy, q_profile, q_rules, q_synth, q_tstr  # noqa: E402, F401
+from . import q_assoc, q_dp, q_drift, q_privacy, q_profile, q_report, q_rules, q_synth, q_tstr  # noqa: E402, F401
