@@ -53,8 +53,14 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def table(self, df: DataFrame, name: str, **options: str) -> DataFrame:
-        """Write df as Parquet and return the table read back."""
-        df.write.options(**options).parquet(self.path(name))
+        """Write df as Parquet and return the table read back. Rows may hold long texts, so batches to Python are short."""
+        conf, batch = self.spark.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = conf.get(batch)
+        try:
+            conf.set(batch, str(min(int(before), 1000) if int(before) > 0 else 1000))
+            df.write.options(**options).parquet(self.path(name))
+        finally:
+            conf.set(batch, before)
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:

@@ -2,18 +2,22 @@
 
 1. One pass over the texts makes each document's set of distinct 5-word shingles (64-bit hashes), the set's digest, and
    the minima of `n_hashes` multiply-shift universal hashes over it.
-2. Documents with one set are a class; its least doc_id stands for it from here on, so copies cost nothing further.
+2. Documents with one set are a class, which is one row from here on, so copies cost nothing further.
 3. The signature is cut into bands of `rows` minima. Classes that share a band meet in a bucket, but no pairs are made
-   there: each is paired with the bucket's least class only.
-4. A pair is verified twice: the share of equal minima must not be far below the threshold (`margin`, over five standard
-   deviations), and then the full sets must satisfy 100 * intersection >= threshold * union.
-5. Components of the verified links, by large-star and small-star.
-6. A bucket whose classes are still in several components may hide links away from its centre. In rounds, up to
-   `centres` of its classes outside its largest component are paired with all of other components and verified; a class
-   that has been a centre is done with. Rounds end when what is left of every bucket lies in one component, so no pair
-   that shares a bucket is left unjudged unless its ends are connected anyway.
-
-With 40 bands of 4, a pair at a similarity of 0.75 shares no bucket with a probability of 2.5e-7.
+   there. A class's weight is the size of all its buckets; its centre is the heaviest class that it meets. It is
+   paired with its own centre and those of the classes it meets.
+4. A pair is verified twice. Signatures that agree in too few places (`near`, five standard deviations under a similarity of 0.5) part it;
+   otherwise the full sets decide: 100 * intersection >= percent * union.
+5. A class that is a centre, or linked with its own, is done with. What is left is compared exactly in tiles: the classes that
+   are not linked with a centre they are near to, with all that are near to it; and the classes left in a bucket, if they were not all near to
+   one centre, with each other. A tile has some hundred classes on either side, so no group meets in one task, and
+   what comes out of it is a forest of links, not pairs. Intersections of a tile are one matrix product.
+6. Components of all links, by large-star and small-star.
+
+No link between classes that share a bucket is lost. If x and m are linked and b is x's centre, m was compared with b as
+well. If both are near b, they are connected through it or met in its tile. If not, then x and m both are too far from b to
+be linked with it, and likewise from m's centre (the triangle inequality holds for this distance), so both are left in the
+bucket and met in its tile. With 40 bands of 4, a pair at a similarity of 0.75 shares no bucket with a probability of 2.5e-7.
 
 Words are runs of other characters than blanks and ASCII control white space, after lower-casing A-Z only. Defined results: a
 document with fewer words than a shingle has its whole sequence as the one shingle; one without words or text has an empty set, is
@@ -28,14 +32,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, maybe_broadcast
 from .components import components
-from .tokens import each_text
+from .tokens import slices
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 BLOCK = 1 << 14
 
 
@@ -47,16 +51,16 @@ class _Words(dict):
         return h
 
 
-_WORDS = _Words()
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles."""
+def shingle_set(text: str | None, words: int = 5, hashes: _Words | None = None) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of a text's shingles. hashes: a task's cache of words."""
+    hashes = _Words() if hashes is None else hashes
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z only, ASCII white space only
     if not parts:
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, parts), np.uint64, len(parts))
+    h = np.fromiter(map(hashes.__getitem__, parts), np.uint64, len(parts))
     size = min(words, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for k in range(size):
@@ -85,18 +89,19 @@ def signatures(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarr
 def _sign(n_hashes: int, seed: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = hash_family(n_hashes, seed)
-        for keys, texts in each_text(batches, ("doc_id", "text")):
+        hashes = _Words()
+        for batch in slices(batches):
             sizes, digests, sigs = [], [], []
             block: list[np.ndarray] = []
             held = 0
 
-            def flush(block=None) -> None:
+            def flush(block: list[np.ndarray]) -> None:
                 some = [s for s in block if len(s)]
                 made = iter(signatures(some, a, b)) if some else iter(())
                 sigs.extend(next(made).tobytes() if len(s) else None for s in block)  # noqa: B023
 
-            for text in texts:
-                s = shingle_set(text, words)
+            for text in batch.column("text").to_pylist():
+                s = shingle_set(text, words, hashes)
                 sizes.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 block.append(s)
@@ -105,7 +110,7 @@ def _sign(n_hashes: int, seed: int, words: int):
                     flush(block)
                     block, held = [], 0
             flush(block)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "digest", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("version"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sigs, pa.binary())], names=["doc_id", "version", "n_shingles", "digest", "sig"])
 
     return run
 
@@ -114,49 +119,94 @@ def _alike(least: float):
     """Keeps pairs whose signatures agree in at least this share of places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in slices(batches, 2000):
             left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint32).reshape(b.num_rows, -1) for c in ("su", "sv"))
-            yield b.select(list(PAIR)).filter(pa.array((left == right).mean(axis=1) >= least))
+            yield b.select(["u", "v"]).filter(pa.array((left == right).mean(axis=1) >= least))
 
     return run
 
 
-def _confirm(percent: int, words: int):
-    """Keeps pairs whose full sets are similar enough; texts of v come in runs, and its set is made once a run."""
+def _judge(percent: int, words: int):
+    """Whether the full sets of each pair are similar enough; texts of v come in runs, and its set is made once a run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, base, base_digest = None, None, None
-        for b in batches:
-            good = []
-            for cu, cv, tu, tv in zip(*(b.column(c).to_pylist() for c in ("cu", "cv", "tu", "tv")), strict=True):
-                if tv != last:
-                    last, base = tv, shingle_set(tv, words)
-                    base_digest = xxhash.xxh3_128_digest(base.tobytes())
+        last, base, hashes = None, None, _Words()
+        for b in slices(batches):
+            linked = []
+            for v, tu, tv in zip(*(b.column(c).to_pylist() for c in ("v", "tu", "tv")), strict=True):
+                if v != last:
+                    last, base = v, shingle_set(tv, words)
                 s = shingle_set(tu, words)
                 both = len(np.intersect1d(s, base, assume_unique=True))
-                # An identifier may have several rows; only those with the class's set count.
-                good.append(base_digest == cv and xxhash.xxh3_128_digest(s.tobytes()) == cu and 100 * both >= percent * (len(s) + len(base) - both))
-            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], names=["u", "v"]).filter(pa.array(good, pa.bool_()))
+                linked.append(100 * both >= percent * (len(s) + len(base) - both))
+            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v"), pa.array(linked, pa.bool_())], names=["u", "v", "linked"])
 
     return run
 
 
-PAIR = ("u", "cu", "v", "cv")
-
+def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of sorted sets, as a product of 0/1 matrices over the members that two sets have, in strips."""
+    sizes = [len(s) for s in (*left, *right)]
+    members, at, count = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    shared = np.flatnonzero(count > 1)
+    place = np.full(len(members), -1)
+    place[shared] = np.arange(len(shared))
+    col = place[at]
+    row, col = row[col >= 0], col[col >= 0]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, len(shared), width):
+        a, b = np.searchsorted(col, (lo, lo + width))
+        m = np.zeros((len(sizes), min(width, len(shared) - lo)), np.float32)
+        m[row[a:b], col[a:b] - lo] = 1
+        out += m[: len(left)] @ m[len(left) :].T
+    return out
+
+
+def _tile(percent: int, words: int):
+    """Links between the two sides of a tile, as a forest."""
+
+    def run(pdf):
+        import pandas as pd
+
+        asks, held = pdf[pdf["asks"]], pdf[~pdf["asks"]]
+        if not len(asks) or not len(held):
+            return pd.DataFrame({"u": [], "v": []}, dtype="int64")
+        us, vs = asks["cid"].to_numpy(), held["cid"].to_numpy()
+        hashes = _Words()
+        left, right = ([shingle_set(t, words, hashes) for t in side["text"]] for side in (asks, held))
+        both = intersections(left, right)
+        total = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :]
+        linked = (100 * both >= percent * (total - both)) & (us[:, None] != vs[None, :])
+        root = {c: c for c in {*us.tolist(), *vs.tolist()}}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        out = []
+        for i, j in zip(*np.nonzero(linked), strict=True):
+            u, v = int(us[i]), int(vs[j])
+            if (a := find(u)) != (b := find(v)):
+                root[a] = b
+                out.append((u, v))
+        return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-def _named(*columns: str) -> list:
-    return [F.col(c).alias(name) for c, name in zip(columns, PAIR, strict=True)]
+    return run
 
 
 class _Search:
-    """The tables of one run. A class has a set's digest c, and rep, the least doc_id of its documents."""
+    """The tables of one run. A class has a number cid, rep, the least doc_id of its documents, n, the size of its set, and sig."""
 
-    def __init__(self, docs: DataFrame, scratch: Scratch, n_hashes: int, rows: int, words: int, percent: int, margin: float, centres: int, seed: int):
-        self.docs, self.scratch, self.words, self.percent, self.margin, self.centres = docs, scratch, words, percent, margin, centres
+    def __init__(self, docs: DataFrame, scratch: Scratch, n_hashes: int, rows: int, words: int, percent: int, near: float, tile: int, seed: int):
+        self.tile = tile
+        self.docs, self.scratch, self.words, self.percent, self.near = docs.withColumn("version", F.xxhash64("text")), scratch, words, percent, near
         self.rows, self.bands, self.step = rows, n_hashes // rows, 0
-        self.signed = scratch.table(docs.mapInArrow(_sign(n_hashes, seed, words), "doc_id long, n_shingles long, digest binary, sig binary"), "signed")
+        self.signed = scratch.table(self.docs.mapInArrow(_sign(n_hashes, seed, words), "doc_id long, version long, n_shingles long, digest binary, sig binary"), "signed")
 
     def table(self, df: DataFrame, what: str) -> DataFrame:
         self.step += 1
@@ -164,62 +214,69 @@ class _Search:
 
     def classes(self) -> None:
         real = self.signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-        least = real.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-        self.class_of = self.table(real.select("doc_id", "digest").join(least, "digest").select("doc_id", "rep").where("doc_id <> rep").distinct(), "class-of")
-        first = least.select(F.col("rep").alias("doc_id"), "digest")
-        one = real.join(first, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-        self.reps = self.table(one.select(F.col("doc_id").alias("rep"), F.col("digest").alias("c"), F.col("n_shingles").alias("n"), "sig"), "reps")
-
-    def buckets(self) -> None:
-        """meets: (bucket, rep, c, first) of buckets with several classes; first is the bucket's least class."""
+        least = self.table(real.groupBy("digest").agg(F.min(F.struct("doc_id", "version")).alias("first")).select("digest", F.col("first.doc_id").alias("rep"), F.col("first.version").alias("version"), F.monotonically_increasing_id().alias("cid")), "least")
+        self.class_of = self.table(real.select("doc_id", "digest").join(least.select("digest", "rep"), "digest").select("doc_id", "rep").where("doc_id <> rep").distinct(), "class-of")
+        one = real.select("doc_id", "version", F.col("n_shingles").alias("n"), "sig").join(least.select("rep", "version", "cid"), (F.col("doc_id") == F.col("rep")) & (real["version"] == least["version"]))
+        self.reps = self.table(one.select("cid", "rep", least["version"], "n", "sig"), "reps")
+
+    def buckets(self) -> DataFrame:
+        """(bucket, cid) of buckets with several classes, and the texts of these classes."""
         width = 4 * self.rows
         band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(self.bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width)))))
-        rows = self.reps.select("rep", "c", band.alias("bucket"))
-        several = rows.groupBy("bucket").agg(F.count("*").alias("k"), F.min(F.struct("rep", "c")).alias("first")).where("k > 1").select("bucket", "first")
-        self.meets = self.table(rows.join(several, "bucket").select("bucket", "rep", "c", "first"), "meets")
-
-    def verify(self, pairs: DataFrame) -> DataFrame:
-        """The links among pairs (u, cu, v, cv)."""
-        one = self.reps.select(F.col("c").alias("cu"), F.col("n").alias("nu"), F.col("sig").alias("su"))
-        two = self.reps.select(F.col("c").alias("cv"), F.col("n").alias("nv"), F.col("sig").alias("sv"))
-        sized = pairs.join(one, "cu").join(two, "cv").where(100 * F.least("nu", "nv") >= self.percent * F.greatest("nu", "nv"))
-        near = self.table(sized.select(*PAIR, "su", "sv").mapInArrow(_alike(self.percent / 100 - self.margin), "u long, cu binary, v long, cv binary"), "near")
-        ids = self.table(near.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "ids")
-        texts = self.table(self.docs.join(maybe_broadcast(ids, ids.count()), "doc_id", "left_semi"), "texts")
-        tu, tv = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu")), texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
-        return self.table(near.join(tu, "u").join(tv, "v").select("u", "cu", "v", "cv", "tu", "tv").mapInArrow(_confirm(self.percent, self.words), "u long, v long"), "links")
-
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """All links found, and node and root of their components."""
-        pairs = self.table(self.meets.where("rep <> first.rep").select(F.col("rep").alias("u"), F.col("c").alias("cu"), F.col("first.rep").alias("v"), F.col("first.c").alias("cv")).distinct(), "pairs")
-        found, tested = self.verify(pairs), pairs
-        used = self.meets.select("bucket", F.col("first.c").alias("c")).distinct()
-        centres = self.centres
-        while True:
-            roots = components(found.union(self.class_of.toDF("u", "v")), self.scratch, f"roots-{self.step}")
-            rooted = self.meets.select("bucket", "rep", "c").join(roots, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "c", F.coalesce("root", "rep").alias("root"))
-            left = rooted.join(used, ["bucket", "c"], "left_anti")
-            shared = left.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
-            left = self.table(left.join(shared, "bucket", "left_semi"), "left")
-            if left.isEmpty():
-                return found, roots
-            largest = left.groupBy("bucket", "root").agg(F.count("*").alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "root")).alias("m")).select("bucket", F.col("m.root").alias("main"))
-            order = Window.partitionBy("bucket").orderBy("rep", "c")
-            chosen = self.table(left.join(largest, "bucket").where("root <> main").withColumn("at", F.row_number().over(order)).where(F.col("at") <= centres).select("bucket", F.col("rep").alias("r1"), F.col("c").alias("c1"), F.col("root").alias("root1")), "chosen")
-            met = left.join(chosen, "bucket").where("root <> root1").select(F.when(F.col("r1") < F.col("rep"), F.struct(*_named("rep", "c", "r1", "c1"))).otherwise(F.struct(*_named("r1", "c1", "rep", "c"))).alias("p"))
-            fresh = self.table(met.select("p.*").distinct().join(tested, ["cu", "cv"], "left_anti").select(*PAIR), "pairs")
-            found = found.union(self.verify(fresh))
-            tested = tested.union(fresh)
-            used = used.union(chosen.select("bucket", F.col("c1").alias("c")))
-            centres *= 2
-
-
-def near_duplicates(docs: DataFrame, n_hashes: int = 160, rows: int = 4, words: int = 5, percent: int = 75, margin: float = 0.2, centres: int = 8, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
+        rows = self.reps.select("cid", band.alias("bucket"))
+        several = rows.groupBy("bucket").agg(F.count("*").alias("k"), F.min("cid").alias("a"), F.max("cid").alias("b")).where("a <> b").select("bucket")
+        meets = self.table(rows.join(several, "bucket", "left_semi").distinct(), "meets")
+        met = self.table(meets.select("cid").distinct().join(self.reps.select("cid", "rep", "version"), "cid").select("cid", F.col("rep").alias("doc_id"), "version"), "met")
+        self.texts = self.table(self.docs.join(maybe_broadcast(met, met.count()), ["doc_id", "version"]).select("cid", "text"), "texts")
+        return meets
+
+    def judge(self, pairs: DataFrame) -> DataFrame:
+        """Distinct pairs (u, v) that pass the signatures, with `linked` by their full sets."""
+        one = self.reps.select(F.col("cid").alias("u"), F.col("sig").alias("su"))
+        two = self.reps.select(F.col("cid").alias("v"), F.col("sig").alias("sv"))
+        alike = self.table(pairs.join(one, "u").join(two, "v").select("u", "v", "su", "sv").mapInArrow(_alike(self.near), "u long, v long"), "alike")
+        tu, tv = self.texts.select(F.col("cid").alias("u"), F.col("text").alias("tu")), self.texts.select(F.col("cid").alias("v"), F.col("text").alias("tv"))
+        return self.table(alike.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv").mapInArrow(_judge(self.percent, self.words), "u long, v long, linked boolean"), "judged")
+
+    def tiles(self, groups: DataFrame) -> DataFrame:
+        """Links in groups (kind, key, cid, asks): of the classes that ask, with all of their group."""
+        n = groups.groupBy("kind", "key").agg(F.count("*").alias("n"), F.count_if("asks").alias("x")).where("n > 1 AND x > 0").select("kind", "key", F.ceil(F.col("n") / self.tile).alias("cuts"))
+        dealt = groups.join(n, ["kind", "key"]).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("cuts")))
+        all_cuts = F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)
+        asking = dealt.where("asks").select("kind", "key", "cid", F.lit(True).alias("asks"), F.col("own").alias("i"), F.explode(all_cuts).alias("j"))
+        held = dealt.select("kind", "key", "cid", F.lit(False).alias("asks"), F.explode(all_cuts).alias("i"), F.col("own").alias("j"))
+        laid = asking.unionByName(held).join(self.texts, "cid")
+        return self.table(laid.groupBy("kind", "key", "i", "j").applyInPandas(_tile(self.percent, self.words), "u long, v long"), "tiled")
+
+    def links(self, live: DataFrame) -> DataFrame:
+        """Verified links between classes (u, v)."""
+        sizes = live.groupBy("bucket").agg(F.count("*").alias("k"))
+        weights = live.join(sizes, "bucket").groupBy("cid").agg(F.sum("k").alias("w"))
+        heavy = self.table(live.join(weights, "cid"), "heavy")
+        tops = heavy.groupBy("bucket").agg(F.max(F.struct("w", (-F.col("cid")).alias("c"))).alias("top"))
+        centres = self.table(heavy.join(tops, "bucket").groupBy("cid").agg(F.max("top").alias("top")).select("cid", (-F.col("top.c")).alias("b")), "centres")
+        seen = live.join(centres, "cid").select("bucket", "b").distinct()
+        pairs = self.table(live.join(seen, "bucket").where("cid <> b").select(F.col("cid").alias("u"), F.col("b").alias("v")).distinct(), "pairs")
+        judged = self.judge(pairs)
+
+        around = judged.select(F.lit("centre").alias("kind"), F.col("v").alias("key"), F.col("u").alias("cid"), (~F.col("linked")).alias("asks"))
+        done = centres.where("cid = b").select("cid").union(judged.where("linked").join(centres, (F.col("u") == F.col("cid")) & (F.col("v") == F.col("b"))).select("cid"))
+        left = self.table(live.join(done, "cid", "left_anti"), "left")
+        k = left.groupBy("bucket").agg(F.count("*").alias("k"))
+        near = left.join(judged.select(F.col("u").alias("cid"), F.col("v").alias("b")).distinct(), "cid").groupBy("bucket", "b").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max("n").alias("n"))
+        open_ = k.join(near, "bucket", "left").where((F.col("k") > 1) & (F.coalesce("n", F.lit(0)) < F.col("k"))).select("bucket")
+        inside = left.join(open_, "bucket", "left_semi").select(F.lit("bucket").alias("kind"), F.col("bucket").alias("key"), "cid", F.lit(True).alias("asks"))
+        return judged.where("linked").select("u", "v").union(self.tiles(self.table(around.unionByName(inside).distinct(), "groups")))
+
+
+def near_duplicates(docs: DataFrame, n_hashes: int = 160, rows: int = 4, words: int = 5, percent: int = 75, near: float = 0.30, tile: int = 256, seed: int = 7, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs."""
-    body = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    search = _Search(body, Scratch(docs.sparkSession, "minhash"), n_hashes, rows, words, percent, margin, centres, seed)
+    body = docs.select(docs[key].cast("long").alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
+    search = _Search(body, Scratch(docs.sparkSession, "minhash"), n_hashes, rows, words, percent, near, tile, seed)
     search.classes()
-    search.buckets()
-    _, roots = search.links()
+    links = search.links(search.buckets())
+    ids = search.reps.select("cid", "rep")
+    edges = links.join(ids.toDF("u", "ru"), "u").join(ids.toDF("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
+    roots = components(edges.union(search.class_of.toDF("u", "v")), search.scratch, "roots")
     out = search.signed.select("doc_id", "n_shingles").join(roots, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), F.coalesce(F.coalesce("root", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))

@@ -1,19 +1,23 @@
 """Token ids by a public vocabulary file, with a bounded cache of words.
 
 Both the normaliser and the splitting pattern of the vocabularies used here treat white space as a border that no
-piece crosses, so a text's ids are those of its parts between blanks and line feeds, one after another. The parts repeat, and
-a cache in each Python worker, emptied when it is full, encodes each of them once. `check_border_safe` verifies this for the vocabulary
+piece crosses, so a text's ids are those of its parts between ASCII white space, one after another. The parts repeat, and
+a bounded cache in each Python worker encodes most of them once. `check_border_safe` verifies this for the vocabulary
 file at hand; a file that fails it is encoded whole.
 """
 
 from __future__ import annotations
 
+import gc
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_PARTS = 300_000
+CACHE_PARTS = 250_000
+MARKS = b",."
+COMBINING = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
 SEPARATE = ("WhitespaceSplit", "BertPreTokenizer", "Whitespace")
 
 
@@ -31,58 +35,146 @@ def check_border_safe(spec: dict) -> bool:
 
 
 class Encoder:
-    """encode(text) gives the ids as a numpy array of the least unsigned type that holds every id."""
+    """encode_many(texts) gives each text's ids as a numpy array of the least unsigned type that holds every id.
 
-    def __init__(self, path: str, add_special_tokens: bool = False):
-        from tokenizers import Tokenizer
+    Parts of texts are cached in two generations: a full young one becomes the old one, from which parts that come
+    again are taken back, so frequent words stay and memory is bounded. Parts that are new are encoded together. A new part of Latin
+    letters, alone or before one comma or full stop, is a word or a word and a mark; many words are encoded as one text, whose
+    ids are parted at the vocabulary's word ends, and as many ends as words must come back.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self._tok = Tokenizer.from_file(path)
-        self._special = add_special_tokens
         self.size = self._tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
-        self._by_part = check_border_safe(spec) and not add_special_tokens
-        self._cache = _Parts(self._whole)
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self._tok.encode(text, add_special_tokens=self._special).ids, dtype=self.dtype).tobytes()
-
-    def encode(self, text: str | None) -> np.ndarray:
+        self._by_part = check_border_safe(spec)
+        norms = spec.get("normalizer") or {}
+        self._lower = any(n["type"] == "Lowercase" for n in norms.get("normalizers", [norms] if norms else []))
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        self._ends = np.zeros(self.size, bool)
+        if suffix:
+            self._ends[[i for piece, i in spec["model"]["vocab"].items() if piece.endswith(suffix)]] = True
+        byte_level = any(x.get("type") == "ByteLevel" for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [spec.get("pre_tokenizer") or {}]))
+        if self._ends.any():
+            # The same model for words alone: white space parts them, and nothing is left to normalise.
+            self._plain = Tokenizer.from_file(path)
+            self._plain.normalizer = None
+            steps = [pre_tokenizers.WhitespaceSplit()] + [pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)] * byte_level
+            self._plain.pre_tokenizer = pre_tokenizers.Sequence(steps)
+            if not self._lower:
+                self._ends[:] = False
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Each word's ids; words are Latin letters only. A few thousand go as one text, without the steps that do nothing to lower-case letters."""
+        texts = [b" ".join(words[i : i + 2000]).decode().lower() for i in range(0, len(words), 2000)]
+        found = self._plain.encode_batch_fast(texts, add_special_tokens=False) if self._ends.any() else []
+        ids = np.array([i for e in found for i in e.ids], dtype=self.dtype)
+        cuts = (np.flatnonzero(self._ends[ids]) + 1) * self.dtype.itemsize
+        if len(cuts) != len(words):
+            return self._batch([w.decode("utf-8", "surrogatepass") for w in words])
+        raw, starts = ids.tobytes(), [0, *cuts.tolist()]
+        return [raw[i:j] for i, j in zip(starts, starts[1:], strict=False)]
+
+    def _learn(self, parts: set[bytes]) -> None:
+        """Put the ids of parts that the young generation lacks into it."""
+        young, old = self._young, self._old
+        young.update([(p, old[p]) for p in parts.intersection(old)])
+        parts = parts.difference(old)
+        words = set(filter(bytes.isalpha, parts))
+        marked, rest = [], []
+        for p in parts.difference(words):
+            if p[-1] in MARKS and _is_word(w := p[:-1]):
+                marked.append((p, w))
+                if w in old:
+                    young[w] = old[w]
+                elif w not in young:
+                    words.add(w)
+            elif _is_word(p):
+                words.add(p)
+            else:
+                rest.append(p)
+        new = list(words)
+        young.update(zip(new, self._words(new), strict=True))
+        rest += [m for m in (b",", b".") if m not in young]
+        young.update(zip(rest, self._batch([r.decode("utf-8", "surrogatepass") for r in rest]), strict=True))
+        for p, w in marked:
+            young[p] = young[w] + young[p[-1:]]
+
+    def _parts(self, text: str | None) -> list[bytes]:
+        """The text between ASCII white space. A-Z are lowered here where the vocabulary does it and no combining mark follows."""
         if not text:
-            raw = b""
-        elif self._by_part:
-            if len(self._cache) > CACHE_PARTS:
-                self._cache.clear()
-            raw = b"".join(map(self._cache.__getitem__, text.replace("\n", " ").split(" ")))
-        else:
-            raw = self._whole(text)
-        return np.frombuffer(raw, dtype=self.dtype)
-
-
-class _Parts(dict):
-    def __init__(self, make):
-        super().__init__()
-        self._make = make
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self._make(part) if part else b""
-        if len(part) <= 64:
-            self[part] = ids
-        return ids
+            return []
+        raw = text.encode("utf-8", "surrogatepass")
+        if self._lower and (len(raw) == len(text) or not COMBINING.search(text)):
+            raw = raw.lower()
+        return raw.split()
+
+    def encode_many(self, texts: list[str | None], block: int = 256) -> Iterator[np.ndarray]:
+        for at in range(0, len(texts), block):
+            some = texts[at : at + block]
+            if not self._by_part:
+                yield from (np.frombuffer(raw, self.dtype) for raw in self._batch([t or "" for t in some]))
+                continue
+            gc.disable()  # nothing here makes cycles, and there are many objects to look through
+            try:
+                made = self._block([self._parts(t) for t in some])
+            finally:
+                gc.enable()
+            for raw in made:
+                yield np.frombuffer(raw, self.dtype)
+
+    def _block(self, parts: list[list[bytes]]) -> list[bytes]:
+        if len(self._young) > CACHE_PARTS:
+            self._young, self._old = {}, self._young
+        young = self._young
+        found = [list(map(young.get, p)) for p in parts]
+        gaps = [[k for k, f in enumerate(x) if f is None] if None in x else [] for x in found]
+        self._learn({p[k] for p, g in zip(parts, gaps, strict=True) for k in g})
+        for p, x, g in zip(parts, found, gaps, strict=True):
+            for k in g:
+                x[k] = young[p[k]]
+        return [b"".join(x) for x in found]
+
+
+def _is_word(part: bytes) -> bool:
+    """Latin letters only, whose lower case is letters only too: the dotted capital I gets a combining mark."""
+    if part.isascii():
+        return part.isalpha()
+    text = part.decode("utf-8", "surrogatepass")
+    return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for this file; its cache lives as long as the worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+#: Rows of an Arrow batch that are Python objects at one time.
+SLICE = 500
 
 
-def encoder(path: str, add_special_tokens: bool = False) -> Encoder:
-    """The worker's encoder for this file; its cache lives as long as the worker."""
-    if (path, add_special_tokens) not in _ENCODERS:
-        _ENCODERS[path, add_special_tokens] = Encoder(path, add_special_tokens)
-    return _ENCODERS[path, add_special_tokens]
+def slices(batches: Iterator, rows: int = SLICE) -> Iterator:
+    """Arrow batches in slices, so that a worker never holds a whole batch as Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
 
 
-def each_text(batches: Iterator, columns: tuple[str, ...]) -> Iterator[list]:
-    """The named columns of each Arrow batch as Python lists."""
-    for b in batches:
+def each_text(batches: Iterator, columns: tuple[str, ...], rows: int = SLICE) -> Iterator[list]:
+    """The named columns of slices of Arrow batches as Python lists."""
+    for b in slices(batches, rows):
         yield [b.column(c).to_pylist() for c in columns]
