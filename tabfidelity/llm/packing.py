@@ -189,8 +189,8 @@ def _pieces(path: str, capacity: int, end_id: int):
         enc, task, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
         for keys, texts in each_text(batches, ("doc_id", "text")):
             out: list[tuple] = []
-            for key, text in zip(keys, texts, strict=True):
-                ids = np.append(enc.encode(text), end_id).astype("<u4")
+            for key, found in zip(keys, enc.encode_many(texts), strict=True):
+                ids = np.append(found, end_id).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start : start + capacity]
                     out.append((key, piece, start, len(part), zlib.crc32(part), task, ranks[len(part)]))

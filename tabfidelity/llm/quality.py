@@ -2,13 +2,14 @@
 
 Two generative models over hashed n-grams (tokens and pairs of neighbouring tokens, hashed into `buckets`): one of the
 target text, the documents labelled good, and one of the raw text, all documents. A document's log weight is the sum
-over its n-grams of the log of the ratio of their smoothed probabilities. Documents are sampled without replacement by
+over its n-grams of the log of the ratio of their smoothed probabilities; a document of the target is scored without its
+own counts, as the others are. Documents are sampled without replacement by
 Gumbel top-k: the k with the greatest log weight plus Gumbel noise, which is made from a hash of the identifier, so a
 rerun draws the same sample on any partitioning.
 
 k is not set by hand. A bounded sample of labelled documents (`max_labelled` by smallest hash of the identifier, both
-labels; the only bounded thing here) gives the log weight that best separates good from bad, and k is the number of all
-documents at or above it, for which the target is the likelier origin. Without any bad labels nothing is rejected.
+labels; the only bounded thing here) gives the log weight that best separates good from bad, where a lost good document
+counts several times as much as a kept bad one, and k is the number of all documents at or above it. Without any bad labels nothing is rejected.
 
 Both models' counts are `buckets` numbers a task and the only thing that is gathered; the k-th greatest key comes from
 counts in 4096 equal steps of the key's bits, refined step by step, never from a sort in one place.
@@ -22,6 +23,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
-from .tokens import each_text
+from .tokens import each_text, slices
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-CACHE_TOKENS = 300_000
+CACHE_TOKENS = 200_000
 
 
 class _Hashes(dict):
@@ -43,13 +45,10 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
-def ngram_buckets(text: str | None, buckets: int) -> np.ndarray:
-    """The bucket of each token and each pair of neighbouring tokens of the whole text, case kept."""
+def ngram_buckets(text: str | None, buckets: int, hashes: _Hashes) -> np.ndarray:
+    """The bucket of each token and each pair of neighbouring tokens of the whole text, case kept. hashes: a task's cache."""
     tokens = TOKEN.findall(text or "")
-    h = np.fromiter(map(_HASHES.__getitem__, tokens), np.uint64, len(tokens))
+    h = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
     mixed = h * np.uint64(0x9E3779B97F4A7C15)
     pairs = (mixed[:-1] ^ (h[1:] + np.uint64(0x7F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
     return ((np.concatenate([mixed, pairs]) >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
@@ -57,10 +56,10 @@ def ngram_buckets(text: str | None, buckets: int) -> np.ndarray:
 
 def _count(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+        raw, target, hashes = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64), _Hashes()
         for texts, good in each_text(batches, ("text", "good")):
             for text, g in zip(texts, good, strict=True):
-                found = ngram_buckets(text, buckets)
+                found = ngram_buckets(text, buckets, hashes)
                 np.add.at(raw, found, 1)
                 if g:
                     np.add.at(target, found, 1)
@@ -69,18 +68,38 @@ def _count(buckets: int):
     return run
 
 
+@dataclass(frozen=True)
+class Models:
+    """N-gram counts of the target and of all text."""
+
+    target: np.ndarray
+    raw: np.ndarray
+    alpha: float
+
+    def weight(self, found: np.ndarray, own: bool) -> float:
+        """The sum of log ratios. own: the text is part of the target, whose counts are then taken without it."""
+        if not self.target.any():
+            return 0.0
+        b, n = np.unique(found, return_counts=True)
+        t, size, room = self.target[b], self.target.sum(), self.alpha * len(self.raw)
+        if own:
+            t, size = t - n, size - n.sum()
+        return float(n @ (np.log((t + self.alpha) / (size + room)) - np.log((self.raw[b] + self.alpha) / (self.raw.sum() + room))))
+
+
 def _score(shared, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ratio = shared.value
-        for b in batches:
-            weights = [float(ratio[ngram_buckets(t, buckets)].sum()) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(c for c, n in zip(b.columns, b.schema.names, strict=True) if n != "text"), pa.array(weights, pa.float64())], names=[*(n for n in b.schema.names if n != "text"), "log_weight"])
+        models, hashes = shared.value, _Hashes()
+        for b in slices(batches):
+            weights = [models.weight(ngram_buckets(t, buckets, hashes), g) for t, g in zip(b.column("text").to_pylist(), b.column("good").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(weights, pa.float64())], names=["doc_id", "log_weight"])
 
     return run
 
 
-def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
-    """The log weight from which on a document counts as good: greatest balanced accuracy, in the middle of the gap."""
+def best_cut(weights: np.ndarray, good: np.ndarray, care: float = 5.0) -> float:
+    """The log weight from which on a document counts as good, in the middle of a gap: a lost share of the good costs `care` times as
+    much as a kept share of the bad."""
     if not (~good).any() or not good.any():
         return float("-inf")
     order = np.argsort(weights, kind="stable")
@@ -88,7 +107,7 @@ def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
     below_bad = np.concatenate([[0], np.cumsum(~g)]) / (~g).sum()
     above_good = 1 - np.concatenate([[0], np.cumsum(g)]) / g.sum()
     edge = np.concatenate([[True], w[1:] > w[:-1], [True]])
-    gain = np.where(edge, below_bad + above_good, -1)
+    gain = np.where(edge, below_bad + care * above_good, -1)
     i = int(gain.argmax())
     return float("-inf") if i == 0 else float("inf") if i == len(w) else float(w[i - 1] + w[i]) / 2
 
@@ -120,18 +139,23 @@ def kth_greatest(keys: DataFrame, column: str, k: int) -> int:
     return low
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, alpha: float = 1.0, key: str = "doc_id", text: str = "text", good: str = "quality") -> np.ndarray:
-    """The log ratio of target and raw probability of each bucket. Labels join by identifier; of conflicting ones the worse holds."""
-    marks = labels.groupBy(labels[key].cast("long").alias("doc_id")).agg((F.min(labels[good].cast("int")) > 0).alias("good"))
+def _marks(labels: DataFrame, key: str, good: str) -> DataFrame:
+    """doc_id and good; of conflicting labels the worse holds."""
+    return labels.groupBy(labels[key].cast("long").alias("doc_id")).agg((F.min(labels[good].cast("int")) > 0).alias("good"))
+
+
+def _marked(docs: DataFrame, labels: DataFrame, key: str, text: str, good: str) -> DataFrame:
     body = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    joined = body.join(_sized(marks), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    counts = joined.mapInArrow(_count(buckets), "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()  # `buckets` rows
+    return body.join(_sized(_marks(labels, key, good)), "doc_id", "left").select("doc_id", "text", F.coalesce("good", F.lit(False)).alias("good"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, alpha: float = 1.0, key: str = "doc_id", text: str = "text", good: str = "quality") -> Models:
+    """Both models, counted over all documents and over all that are labelled good."""
+    counts = _marked(docs, labels, key, text, good).select("text", "good").mapInArrow(_count(buckets), "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()  # `buckets` rows
     raw, target = np.zeros(buckets), np.zeros(buckets)
     for r in counts:
         raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    if not target.sum():
-        return np.zeros(buckets)
-    return np.log((target + alpha) / (target.sum() + alpha * buckets)) - np.log((raw + alpha) / (raw.sum() + alpha * buckets))
+    return Models(target, raw, alpha)
 
 
 def _sized(marks: DataFrame) -> DataFrame:
@@ -143,12 +167,10 @@ def score(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, seed: int =
     """A scratch table (doc_id, row, log_weight, rank_key), the cut, and the rank key of the last document drawn (None: all)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
-    ratio = fit(docs, labels, buckets, key=key, text=text, good=good)
-    shared = spark.sparkContext.broadcast(ratio)
-    body = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    weighed = body.mapInArrow(_score(shared, buckets), "doc_id long, log_weight double")
+    shared = spark.sparkContext.broadcast(fit(docs, labels, buckets, key=key, text=text, good=good))
+    weighed = _marked(docs, labels, key, text, good).mapInArrow(_score(shared, buckets), "doc_id long, log_weight double")
     scored = scratch.table(weighed.withColumn("rank_key", _sortable(F.col("log_weight") + gumbel(F.col("doc_id"), seed))), "scored")
-    marks = labels.groupBy(labels[key].cast("long").alias("doc_id")).agg((F.min(labels[good].cast("int")) > 0).alias("good"))
+    marks = _marks(labels, key, good)
     # The bound: about max_labelled labelled documents, by a hash of the identifier.
     n = marks.count()
     some = marks.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1_000_000)) < F.lit(1_000_000 * min(1.0, max_labelled / max(n, 1))))

@@ -5,10 +5,10 @@ piece covers, one edge of its UTF-8 byte pieces. A forward Viterbi pass gives ev
 scores are the exact cost of what is left for a search that walks back from the end, so A* takes complete paths
 off its queue in order of their scores, and stops after N.
 
-No piece of the vocabulary reaches over a border between another character and the space mark, so a text's lattice is a
-chain of its words' lattices (checked when a model is loaded; a model without this has its texts searched whole). Each
-word's N best are searched once a worker (a bounded cache), and the text's N best are searched among sums of words' losses, in the same way:
-the words' forward scores are the heuristics, and only the N - 1 words with the least first losses can matter.
+No piece reaches over two neighbours that stand side by side in no piece, so a text's lattice is a chain of smaller ones:
+of words, which start at space marks (checked when a model is loaded; a model without this has its texts searched
+whole), and of segments in words. Each segment and word is searched once while a bounded cache holds it, and the N best of a
+chain are among the sums of its parts' N best; of a text's words only the N - 1 with the least first losses can matter.
 
 Equal scores are ordered by their pieces' ids, so results are whole and repeatable. Scores of a BPE model are its merge ranks; the best
 path is then the best by that sum, which isn't always that of its merges. Pieces of no use in a text (control, unknown,
@@ -21,9 +21,11 @@ segmentations has all of them; repeated rows are encoded each; an empty table gi
 from __future__ import annotations
 
 import heapq
+import re
 import struct
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,14 @@ MARK = "▁"
 # Fixed values of the model format: kinds of pieces, and their type numbers.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BYTE_LOSS = -1e6
-CACHE_WORDS = 100_000
+CACHE_WORDS = 200_000
+INF = float("inf")
+_IDS, _SCORE, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
+
+
+def _order(x: tuple[float, tuple[int, ...]]) -> tuple[float, tuple[int, ...]]:
+    """The greatest score first; equal scores by their ids."""
+    return -x[0], x[1]
 
 
 def _fields(buf: bytes) -> Iterator[tuple[int, object]]:
@@ -93,11 +102,15 @@ class Model:
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.kinds[i] in (NORMAL, USER)}
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
-        self._apart = np.isin(self.kinds, (BYTE, CONTROL))
-        self.heads: dict[str, int] = {}
-        for p in self.ids:
-            self.heads[p[0]] = max(self.heads.get(p[0], 0), len(p))
-        self.by_word = not any(a != MARK and b == MARK for p in self.ids for a, b in zip(p, p[1:], strict=False))
+        self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        # Neighbours inside pieces: between other neighbours no piece reaches over.
+        self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.by_word = not any(x[0] != MARK and x[1] == MARK for x in self.inside)
+        feed = not any("\n" in x for x in self.ids)
+        self._cut = re.compile(rf"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n" if feed else rf"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        # What a piece stands for, and those that need more than that: control pieces and bytes of longer characters.
+        self._plain = [chr(int(p[3:5], 16)) if k == BYTE else p for p, k in zip(self.pieces, self.kinds, strict=True)]
+        self._apart = np.array([k == CONTROL or k == BYTE and int(p[3:5], 16) > 127 for p, k in zip(self.pieces, self.kinds, strict=True)])
 
     def normalise(self, text: str | None) -> str:
         if not text:
@@ -110,16 +123,21 @@ class Model:
     def edges(self, text: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
         """For each place where an edge ends: (start, ids, score) of each that ends there."""
         ends: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(len(text) + 1)]
-        for i, c in enumerate(text):
+        ids, prefixes, scores, n = self.ids, self.prefixes, self.scores, len(text)
+        for i in range(n):
             single = False
-            for j in range(i + 1, min(len(text), i + self.heads.get(c, 0)) + 1):
-                if (k := self.ids.get(text[i:j])) is not None:
-                    ends[j].append((i, (k,), self.scores[k]))
-                    single |= j == i + 1
+            for j in range(i + 1, n + 1):
+                part = text[i:j]
+                if part not in prefixes:
+                    break
+                if part in ids:
+                    k = ids[part]
+                    ends[j].append((i, (k,), scores[k]))
+                    single = single or j == i + 1
             if not single:
-                raw = c.encode("utf-8", "surrogatepass")
-                ids = tuple(self.byte_ids[b] for b in raw) if self.byte_ids else (self.unknown,)
-                ends[i + 1].append((i, ids, BYTE_LOSS * len(raw)))
+                raw = text[i].encode("utf-8", "surrogatepass")
+                made = tuple(self.byte_ids[b] for b in raw) if self.byte_ids else (self.unknown,)
+                ends[i + 1].append((i, made, BYTE_LOSS * len(raw)))
         return ends
 
     def nbest(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -130,82 +148,124 @@ class Model:
         best = [0.0] + [0.0] * len(text)
         for j in range(1, len(text) + 1):
             best[j] = max(best[i] + s for i, _, s in ends[j])
-        # (-(score so far + best that is left), ids from here to the end, place, score so far)
-        queue: list[tuple[float, tuple[int, ...], int, float]] = [(-best[-1], (), len(text), 0.0)]
+        # (-(score so far + best that is left), order of arrival, place, score so far, (ids, path from here to the end))
+        queue: list[tuple] = [(-best[-1], 0, len(text), 0.0, None)]
+        push, pop, come = heapq.heappush, heapq.heappop, 0
         out: list[tuple[float, tuple[int, ...]]] = []
         while queue and (len(out) < n or -queue[0][0] >= out[-1][0]):
-            _, ids, j, so_far = heapq.heappop(queue)
+            _, _, j, so_far, path = pop(queue)
             if j == 0:
-                out.append((so_far, ids))
+                ids: list[int] = []
+                while path is not None:
+                    ids += path[0]
+                    path = path[1]
+                out.append((so_far, tuple(ids)))
+                if len(out) >= 64 * n:  # more equal scores than can be told apart in order
+                    break
                 continue
             for i, piece, s in ends[j]:
-                heapq.heappush(queue, (-(so_far + s + best[i]), piece + ids, i, so_far + s))
-            if len(out) >= 64 * n:  # more equal scores than can be told apart in order
-                break
-        return sorted(out, key=lambda x: (-x[0], x[1]))[:n]
+                come += 1
+                push(queue, (-(so_far + s + best[i]), come, i, so_far + s, (piece, path)))
+        return sorted(out, key=_order)[:n]
 
     def words(self, text: str) -> list[str]:
-        """The parts of a normalised text that no piece reaches over: marks, and what follows them."""
-        if not text or not self.by_word:
-            return [text] if text else []
-        if MARK + MARK not in text:
-            head, *rest = text.split(MARK)
-            return ([head] if head else []) + [MARK + w for w in rest]
-        cuts = [i for i in range(1, len(text)) if text[i] == MARK and text[i - 1] != MARK]
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+        """The parts of a normalised text that no piece reaches over: marks and what follows them, and line feeds."""
+        return self._cut.findall(text) if self.by_word else [text] if text else []
+
+    def segments(self, word: str) -> list[str]:
+        """A word cut wherever no piece reaches over."""
+        cuts = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.inside]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         ids = np.asarray(ids, np.int64)
         if not self._apart[ids].any():
-            text = "".join(map(self.pieces.__getitem__, ids.tolist())).replace(MARK, " ")
-            return text[1:] if self.prefix and text.startswith(" ") else text
-        out, raw = [], bytearray()
-        for i in ids.tolist():
-            if self.kinds[i] == BYTE:
-                raw.append(int(self.pieces[i][3:5], 16))
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if self.kinds[i] != CONTROL:
-                out.append(self.pieces[i])
-        out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+            text = "".join(map(self._plain.__getitem__, ids.tolist()))
+        else:
+            out, raw = [], bytearray()
+            for i in ids.tolist():
+                if self.kinds[i] == BYTE:
+                    raw.append(int(self.pieces[i][3:5], 16))
+                    continue
+                if raw:
+                    out.append(raw.decode("utf-8", "replace"))
+                    raw.clear()
+                if self.kinds[i] != CONTROL:
+                    out.append(self.pieces[i])
+            out.append(raw.decode("utf-8", "replace"))
+            text = "".join(out)
+        text = text.replace(MARK, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+#: The best ids of a word or segment as bytes, their score, and the least loss of another segmentation.
+Best = tuple[bytes, float, float]
+
+
+class _Cache:
+    """Two generations: a full young one becomes the old one, from which keys that come again are taken back."""
+
+    def __init__(self, make, size: int):
+        self.young: dict = {}
+        self._old: dict = {}
+        self._make, self._size = make, size
+
+    def get(self, key: str):
+        if (got := self.young.get(key)) is None:
+            got = self._old.get(key)
+            if got is None:
+                got = self._make(key)
+            if len(key) <= 64:
+                self.young[key] = got
+            if len(self.young) > self._size:
+                self.young, self._old = {}, self.young
+        return got
+
+
 class Encoder:
     def __init__(self, path: str, n: int):
         self.model, self.n = Model(path), n
-        self._cache: dict[str, tuple[bytes, float, list]] = {}
-
-    def _word(self, word: str) -> tuple[bytes, float, list[tuple[float, bytes]]]:
-        """The best ids as bytes, their score, and (loss, ids) of the others."""
-        if (got := self._cache.get(word)) is None:
-            found = [(s, np.array(ids, "<u4").tobytes()) for s, ids in self.model.nbest(word, self.n)]
-            got = (found[0][1], found[0][0], [(found[0][0] - s, ids) for s, ids in found[1:]])
-            if len(self._cache) >= CACHE_WORDS:
-                self._cache.clear()
-            self._cache[word] = got
-        return got
+        self._words, self._segments, self._all = _Cache(self._word, CACHE_WORDS), _Cache(self._segment, CACHE_WORDS), _Cache(self._choices, CACHE_WORDS // 10)
+
+    def _segment(self, segment: str) -> Best:
+        (score, ids), *more = self.model.nbest(segment, min(self.n, 2))
+        return np.array(ids, "<u4").tobytes(), score, score - more[0][0] if more else INF
+
+    def _word(self, word: str) -> Best:
+        parts = [self._segments.get(x) for x in (self.model.segments(word) if self.model.by_word else [word])]
+        return parts[0] if len(parts) == 1 else (b"".join(map(_IDS, parts)), sum(map(_SCORE, parts)), min(map(_LOSS, parts)))
+
+    def _choices(self, word: str) -> list[tuple[float, bytes]]:
+        """(loss, ids) of a word's n best, which are among the sums of its segments' n best."""
+        best: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
+        for part in self.model.segments(word) if self.model.by_word else [word]:
+            found = self.model.nbest(part, self.n)
+            best = sorted(((a + c, b + d) for a, b in best for c, d in found), key=_order)[: self.n]
+        return [(best[0][0] - s, np.array(ids, "<u4").tobytes()) for s, ids in best]
 
     def nbest(self, text: str | None) -> list[tuple[float, bytes]]:
         """(score, little-endian 32-bit ids) of the text's best segmentations, best first."""
         words = self.model.words(self.model.normalise(text))
-        made = [self._word(w) for w in words]
-        total = sum(m[1] for m in made)
-        out = [(total, b"".join(m[0] for m in made))]
-        if self.n == 1:
+        made = list(map(self._words.young.get, words))
+        if None in made:
+            made = [f if f is not None else self._words.get(w) for w, f in zip(words, made, strict=True)]
+        ids = list(map(_IDS, made))
+        total = sum(map(_SCORE, made))
+        out = [(total, b"".join(ids))]
+        if self.n == 1 or not made:
             return out
         # Leaving a word's best costs its first loss at least, so n - 1 words at most are left in the n best.
-        open_ = heapq.nsmallest(self.n - 1, ((m[2][0][0], i) for i, m in enumerate(made) if m[2]))
-        choices = [(i, [(0.0, made[i][0]), *made[i][2]]) for i in sorted(i for _, i in open_)]
+        losses = np.fromiter(map(_LOSS, made), np.float64, len(made))
+        few = np.argsort(losses, kind="stable")[: self.n - 1] if len(losses) <= 64 else np.argpartition(losses, self.n - 2)[: self.n - 1]
+        choices = [(i, self._all.get(words[i])) for i in sorted(few.tolist()) if losses[i] < INF]
         sums: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
         for _, options in choices:
-            sums = heapq.nsmallest(self.n, ((loss + o[0], picks + (k,)) for loss, picks in sums for k, o in enumerate(options)))
+            sums = heapq.nsmallest(self.n, ((loss + o[0], (*picks, k)) for loss, picks in sums for k, o in enumerate(options)))
         for loss, picks in sums[1:]:
-            swap = {i: options[k][1] for (i, options), k in zip(choices, picks, strict=True) if k}
-            out.append((total - loss, b"".join(swap.get(i, m[0]) for i, m in enumerate(made))))
+            swapped = ids.copy()
+            for (i, options), k in zip(choices, picks, strict=True):
+                swapped[i] = options[k][1]
+            out.append((total - loss, b"".join(swapped)))
         return out
 
 

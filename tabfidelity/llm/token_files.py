@@ -89,11 +89,11 @@ def _write(root: str, tokenizer: str, end_id: int, seq_len: int):
         name, attempt = f"{base}/tokens-{part:06d}", uuid.uuid4().hex[:8]
         keys_, starts, lengths, writer, sink = [], [], [], None, None
         for keys, texts in each_text(batches, ("doc_id", "text")):
-            for key, text in zip(keys, texts, strict=True):
+            for key, found in zip(keys, enc.encode_many(texts), strict=True):
                 if writer is None:
                     sink = store.open_output_stream(f"{name}.arrow.{attempt}")
                     writer = SequenceWriter(sink, enc.dtype, seq_len)
-                ids = np.append(enc.encode(text), end_id).astype(enc.dtype)
+                ids = np.append(found, end_id).astype(enc.dtype)
                 keys_.append(key)
                 starts.append(writer.total)
                 lengths.append(len(ids))
