@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +72,30 @@ class Scratch:
             self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name)), True)
 
 
+_CLAIMED: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, drop: Callable[[], None] | None = None) -> None:
+    """A Python worker serves tasks of many operators and keeps the caches of one: those of others are dropped and their memory given back.
+
+    drop empties what the owner keeps between tasks.
+    """
+    import ctypes
+
+    import pyarrow as pa
+
+    others = [k for k in _CLAIMED if k != owner]
+    for k in others:
+        _CLAIMED.pop(k)()
+    if drop:
+        _CLAIMED[owner] = drop
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def maybe_broadcast(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a narrow table whose counted rows are under the limit; leave the choice to the planner beyond it."""
     return F.broadcast(df) if rows <= limit else df

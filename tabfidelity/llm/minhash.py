@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, maybe_broadcast
+from .common import Scratch, claim, maybe_broadcast
 from .components import components
 from .tokens import slices
 
@@ -88,6 +88,7 @@ def signatures(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarr
 
 def _sign(n_hashes: int, seed: int, words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("minhash")
         a, b = hash_family(n_hashes, seed)
         hashes = _Words()
         for batch in slices(batches):
@@ -130,6 +131,7 @@ def _judge(percent: int, words: int):
     """Whether the full sets of each pair are similar enough; texts of v come in runs, and its set is made once a run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("minhash")
         last, base, hashes = None, None, _Words()
         for b in slices(batches):
             linked = []

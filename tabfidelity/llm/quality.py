@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, claim
 from .tokens import each_text, slices
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -56,6 +56,7 @@ def ngram_buckets(text: str | None, buckets: int, hashes: _Hashes) -> np.ndarray
 
 def _count(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality")
         raw, target, hashes = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64), _Hashes()
         for texts, good in each_text(batches, ("text", "good")):
             for text, g in zip(texts, good, strict=True):
@@ -89,6 +90,7 @@ class Models:
 
 def _score(shared, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("quality")
         models, hashes = shared.value, _Hashes()
         for b in slices(batches):
             weights = [models.weight(ngram_buckets(t, buckets, hashes), g) for t, g in zip(b.column("text").to_pylist(), b.column("good").to_pylist(), strict=True)]

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import claim
 from .tokens import each_text
 
 MARK = "▁"
@@ -273,6 +274,7 @@ _ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
 def encoder(path: str, n: int) -> Encoder:
+    claim("sentencepiece", _ENCODERS.clear)
     if (path, n) not in _ENCODERS:
         _ENCODERS[path, n] = Encoder(path, n)
     return _ENCODERS[path, n]

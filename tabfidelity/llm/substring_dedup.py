@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, free_name, maybe_broadcast
+from .common import Scratch, claim, free_name, maybe_broadcast
 from .tokens import slices
 
 CUT = re.compile(r"((?<=[.!?])\s+|\n\s*)")
@@ -90,6 +90,7 @@ def runs(text: str | None, run: int = RUN, min_words: int = MIN_WORDS, long_word
 
 def _spans(run: int, min_words: int, long_words: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         for b in slices(batches):
             found = [runs(t, run, min_words, long_words) for t in b.column("text").to_pylist()]
             n = [len(p) for p, _ in found]
@@ -102,6 +103,7 @@ def _spans(run: int, min_words: int, long_words: int):
 
 def _strip(run: int, long_words: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         for b in slices(batches):
             kept, total, gone = [], [], []
             for text, starts in zip(b.column("text").to_pylist(), b.column("starts").to_pylist(), strict=True):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, claim
 from .tokens import each_text
 
 # Fixed values of the file format: tags, codes of compression, and bytes of each field type.
@@ -328,7 +328,8 @@ UNIT, WIDE, TALL = 576, 576, 64
 
 
 def _encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Payloads as pages of WIDE x up to TALL samples; pages of one file take turns in their layout through `layout`."""
+    """Payloads as pages of WIDE x up to TALL samples."""
+    claim("tiff")
     for keys, texts in each_text(batches, ("doc_id", "text")):
         media, lengths = [], []
         for text in texts:

@@ -15,6 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from .common import claim
+
 CACHE_PARTS = 250_000
 MARKS = b",."
 COMBINING = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
@@ -158,6 +160,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for this file; its cache lives as long as the worker."""
+    claim("tokens", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
