@@ -73,7 +73,7 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest
     sha = sha256_of(body)
     row = F.monotonically_increasing_id()
     spot = F.struct(F.shiftright(row, 33).alias("part"), row.bitwiseAND(F.lit((1 << 33) - 1)).alias("row")).alias("locator")
-    # A column of the text's place in the input: file and row where the input is files, else only the generated number.
+    # The content locator: partition and row of the arrival, fixed from here on, as the arrivals are written.
     arrivals = scratch.table(docs.select(docs[key].cast("long").alias("doc_id"), spot, F.unhex(F.substring(sha, 1, max(2, digest_bits // 4))).alias("digest"), sha.alias("text_sha256")), "arrivals")
 
     stream = spark.readStream.schema(arrivals.schema)
