@@ -55,12 +55,11 @@ _SC = f"(greatest(mx - mn, 1e-9) / (SELECT count(*) FROM seed)::DOUBLE / {EPS}::
 
 
 @query(f"""WITH {BASE_SQL}, m AS ({_SUMM}), r AS (SELECT "column", round(mn, 6) AS mn, round(mx, 6) AS mx, round(m, 6) AS m, round(md, 6) AS md, round(sd, 6) AS sd FROM m)
-SELECT "column", mn AS min, mx AS max, round(least(greatest(m + {lsql(_SC, '"column"', "'mean'")}, mn), mx), 5) AS mean, round(least(greatest(md + {lsql(_SC, '"column"', "'median'")}, mn), mx), 5) AS median,
-round(greatest(sd + {lsql(_SC, '"column"', "'std'")}, 0), 5) AS std FROM r""")
+SELECT "column", mn AS min, mx AS max, round(least(greatest(m + {lsql(_SC, '"column"', "'mean'")}, mn), mx), 6) AS mean, round(least(greatest(md + {lsql(_SC, '"column"', "'median'")}, mn), mx), 6) AS median,
+round(greatest(sd + {lsql(_SC, '"column"', "'std'")}, 0), 6) AS std FROM r""")
 def dp_numeric(spark, d):
     df = seed(spark, d)
-    out = X.dp_numeric(P.numeric_summary(df, _COLS), df.count(), EPS)
-    return out.select("column", "min", "max", *(F.round(c, 5).alias(c) for c in ("mean", "median", "std")))
+    return X.dp_numeric(P.numeric_summary(df, _COLS), df.count(), EPS)
 
 
 _Q = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", unnest([0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99]::DOUBLE[]) AS prob, unnest(quantile_cont({c}::DOUBLE, [0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99])) AS value, (SELECT min({c}) FROM seed) AS mn, (SELECT max({c}) FROM seed) AS mx FROM seed" for c in _COLS)
@@ -69,11 +68,11 @@ _Q = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", unnest([0.01, 0.05, 0.10,
 @query(f"""WITH {BASE_SQL}, q AS ({_Q}),
 g AS (SELECT *, greatest(0, greatest(0, value - coalesce(lag(value) OVER w, mn)) + {lsql(_SC, '"column"', 'prob')}) AS g, greatest(0, greatest(0, mx - last_value(value) OVER (PARTITION BY "column" ORDER BY prob ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) + {lsql(_SC, '"column"', "'tail'")}) AS tl FROM q WINDOW w AS (PARTITION BY "column" ORDER BY prob)),
 t AS (SELECT *, sum(g) OVER (PARTITION BY "column") + tl AS total FROM g)
-SELECT "column", prob, round(mn + sum(g) OVER (PARTITION BY "column" ORDER BY prob) * CASE WHEN total > 0 THEN greatest(mx - mn, 1e-9) / total ELSE 0 END, 3) AS value FROM t""")
+SELECT "column", prob, round(mn + sum(g) OVER (PARTITION BY "column" ORDER BY prob) * CASE WHEN total > 0 THEN greatest(mx - mn, 1e-9) / total ELSE 0 END, 4) AS value FROM t""")
 def dp_quantile_gaps(spark, d):
     df = seed(spark, d)
     ends = P.numeric_summary(df, _COLS).select("column", "min", "max")
-    return X.dp_quantiles(P.quantiles(df, _COLS), ends, df.count(), EPS).select("column", "prob", F.round("value", 3).alias("value"))
+    return X.dp_quantiles(P.quantiles(df, _COLS), ends, df.count(), EPS)
 
 
 @query(f"""WITH {BASE_SQL}, m AS (SELECT 'tax_n' AS "column", count_if(tax_n IS NULL) AS c, count(*) AS n FROM seed),

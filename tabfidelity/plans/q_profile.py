@@ -48,7 +48,7 @@ _RATIO = "s AS (SELECT l_quantity, price / 1000 AS price_k, l_discount, tax_n FR
 
 
 @query(f"""WITH {BASE_SQL}, {_RATIO}, m AS ({_union(_MOM, ['l_quantity', 'price_k', 'l_discount', 'tax_n'])})
-SELECT "column", round(mn, 4) AS min, round(mx, 4) AS max, round(m, 4) AS mean, round(md, 4) AS median, round(sd, 4) AS std, round(vr, 4) AS variance, round(sk, 4) + 0.0 AS skewness, round(ku, 4) + 0.0 AS kurtosis FROM m""")
+SELECT "column", round(round(mn, 6), 4) AS min, round(round(mx, 6), 4) AS max, round(round(m, 6), 4) AS mean, round(round(md, 6), 4) AS median, round(round(sd, 6), 4) AS std, round(round(vr, 6), 4) AS variance, round(round(sk, 6), 4) + 0.0 AS skewness, round(round(ku, 6), 4) + 0.0 AS kurtosis FROM m""")
 def numeric_summary(spark, d):
     df = seed(spark, d).withColumn("price_k", F.col("price") / 1000)
     return rounded(P.numeric_summary(df, ["l_quantity", "price_k", "l_discount", "tax_n"]), 4)

@@ -24,7 +24,7 @@ def _parts(spark, d):
 @query(f"""WITH {BASE_SQL}, {_NET_SQL}, {_FREQ}, q AS ({_Q}), c AS ({_P})
 SELECT 'target' AS kind, "column", value, round(p, 5) AS number FROM f WHERE "column" = 'flag'
 UNION ALL SELECT CASE WHEN p > 0.70 THEN 'dominant' ELSE 'rare' END, "column", value, round(p, 5) FROM f WHERE "column" <> 'flag' AND (p > 0.70 OR p < 0.08)
-UNION ALL SELECT CASE WHEN p50 = 0 AND p75 = 0 THEN 'mostly_zero' WHEN p50 = 0 THEN 'half_zero' ELSE 'skewed' END, "column", NULL, round(sk, 5) FROM q WHERE p50 = 0 OR abs(sk) > 2
+UNION ALL SELECT CASE WHEN p50 = 0 AND p75 = 0 THEN 'mostly_zero' WHEN p50 = 0 THEN 'half_zero' ELSE 'skewed' END, "column", NULL, round(round(sk, 6), 5) FROM q WHERE p50 = 0 OR abs(sk) > 2
 UNION ALL SELECT CASE WHEN r > 0 THEN 'positive' ELSE 'inverse' END, a, b, round(r, 5) FROM c WHERE abs(r) > 0.35""")
 def reminders(spark, d):
     f, s, q, c = _parts(spark, d)
