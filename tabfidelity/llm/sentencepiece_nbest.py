@@ -7,8 +7,9 @@ off its queue in order of their scores, and stops after N.
 
 No piece reaches over two neighbours that stand side by side in no piece, so a text's lattice is a chain of smaller ones:
 of words, which start at space marks (checked when a model is loaded; a model without this has its texts searched
-whole), and of segments in words. Each segment and word is searched once while a bounded cache holds it, and the N best of a
-chain are among the sums of its parts' N best; of a text's words only the N - 1 with the least first losses can matter.
+whole), and of segments in words. A forward pass with the two best scores of each node gives a segment's best path and the
+loss of its next one, once while a bounded cache holds it. The N best of a chain are among the sums of its parts' N best, and of a text's words only the
+N - 1 with the least first losses can matter: for these alone A* is run.
 
 Equal scores are ordered by their pieces' ids, so results are whole and repeatable. Scores of a BPE model are its merge ranks; the best
 path is then the best by that sum, which isn't always that of its merges. Pieces of no use in a text (control, unknown,
@@ -39,7 +40,7 @@ MARK = "▁"
 # Fixed values of the model format: kinds of pieces, and their type numbers.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BYTE_LOSS = -1e6
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 INF = float("inf")
 _IDS, _SCORE, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
 
@@ -103,7 +104,15 @@ class Model:
         self.ids = {p: i for i, p in enumerate(self.pieces) if self.kinds[i] in (NORMAL, USER)}
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         self.unknown = next((i for i, k in enumerate(self.kinds) if k == UNKNOWN), 0)
-        self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        # By characters: what follows, and the ids and score of the piece that ends here, if one does.
+        self.trie: dict[str, tuple] = {}
+        for p, k in sorted(self.ids.items()):
+            node = self.trie
+            for c in p[:-1]:
+                if c not in node:
+                    node[c] = ({}, None, 0.0)
+                node = node[c][0]
+            node[p[-1]] = (node[p[-1]][0] if p[-1] in node else {}, (k,), self.scores[k])
         # Neighbours inside pieces: between other neighbours no piece reaches over.
         self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.by_word = not any(x[0] != MARK and x[1] == MARK for x in self.inside)
@@ -123,17 +132,16 @@ class Model:
 
     def edges(self, text: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
         """For each place where an edge ends: (start, ids, score) of each that ends there."""
-        ends: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(len(text) + 1)]
-        ids, prefixes, scores, n = self.ids, self.prefixes, self.scores, len(text)
+        n = len(text)
+        ends: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(n + 1)]
+        root = self.trie
         for i in range(n):
-            single = False
-            for j in range(i + 1, n + 1):
-                part = text[i:j]
-                if part not in prefixes:
-                    break
-                if part in ids:
-                    k = ids[part]
-                    ends[j].append((i, (k,), scores[k]))
+            node, j, single = root, i, False
+            while j < n and (step := node.get(text[j])) is not None:
+                node, ids, score = step
+                j += 1
+                if ids is not None:
+                    ends[j].append((i, ids, score))
                     single = single or j == i + 1
             if not single:
                 raw = text[i].encode("utf-8", "surrogatepass")
@@ -141,14 +149,49 @@ class Model:
                 ends[i + 1].append((i, made, BYTE_LOSS * len(raw)))
         return ends
 
+    def best(self, text: str) -> tuple[tuple[int, ...], float, float]:
+        """The best ids of a lattice, their score, and the loss of the next best (infinite if there is none): the forward pass with two scores a node."""
+        ends = self.edges(text)
+        first, second, back = [0.0], [-INF], [None]
+        for j in range(1, len(text) + 1):
+            top = next_ = -INF
+            edge = None
+            for e in ends[j]:
+                i, _, s = e
+                v = first[i] + s
+                if v > top:
+                    next_, top, edge = top, v, e
+                elif v > next_:
+                    next_ = v
+                v = second[i] + s
+                if v > next_:
+                    next_ = v
+            first.append(top)
+            second.append(next_)
+            back.append(edge)
+        if second[-1] >= first[-1]:  # equal scores are told apart by ids
+            (score, ids), *more = self.nbest(text, 2)
+            return ids, score, score - more[0][0]
+        ids: list[int] = []
+        j = len(text)
+        while j:
+            j, piece, _ = back[j]
+            ids[:0] = piece
+        return tuple(ids), first[-1], first[-1] - second[-1]
+
     def nbest(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best (score, ids) of one lattice, best first: Viterbi forward, A* backward."""
         if not text:
             return [(0.0, ())]
         ends = self.edges(text)
-        best = [0.0] + [0.0] * len(text)
+        best = [0.0]
         for j in range(1, len(text) + 1):
-            best[j] = max(best[i] + s for i, _, s in ends[j])
+            top = -INF
+            for i, _, s in ends[j]:
+                v = best[i] + s
+                if v > top:
+                    top = v
+            best.append(top)
         # (-(score so far + best that is left), order of arrival, place, score so far, (ids, path from here to the end))
         queue: list[tuple] = [(-best[-1], 0, len(text), 0.0, None)]
         push, pop, come = heapq.heappush, heapq.heappop, 0
@@ -166,8 +209,9 @@ class Model:
                 continue
             for i, piece, s in ends[j]:
                 come += 1
-                push(queue, (-(so_far + s + best[i]), come, i, so_far + s, (piece, path)))
-        return sorted(out, key=_order)[:n]
+                s += so_far
+                push(queue, (-(s + best[i]), come, i, s, (piece, path)))
+        return sorted(out, key=_order)[:n] if len(out) > 1 else out
 
     def words(self, text: str) -> list[str]:
         """The parts of a normalised text that no piece reaches over: marks and what follows them, and line feeds."""
@@ -229,8 +273,8 @@ class Encoder:
         self._words, self._segments, self._all = _Cache(self._word, CACHE_WORDS), _Cache(self._segment, CACHE_WORDS), _Cache(self._choices, CACHE_WORDS // 10)
 
     def _segment(self, segment: str) -> Best:
-        (score, ids), *more = self.model.nbest(segment, min(self.n, 2))
-        return np.array(ids, "<u4").tobytes(), score, score - more[0][0] if more else INF
+        ids, score, loss = self.model.best(segment) if segment else ((), 0.0, INF)
+        return struct.pack(f"<{len(ids)}I", *ids), score, loss
 
     def _word(self, word: str) -> Best:
         parts = [self._segments.get(x) for x in (self.model.segments(word) if self.model.by_word else [word])]
