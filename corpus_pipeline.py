@@ -5,11 +5,32 @@ quality classifier, exact dedup, MinHash near-dedup, substring dedup, best-fit p
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabfidelity.llm import exact_dedup, minhash, packing, quality, queries, substring_dedup
-from tabfidelity.llm.common import Scratch, maybe_broadcast
+from tabfidelity.llm.common import Scratch, maybe_broadcast, tracked
+
+
+_FINISHED: list[Scratch] = []
+
+
+def _stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage starts when the one before has been written, so the working tables of that one go then."""
+
+    @functools.wraps(f)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _FINISHED:
+            _FINISHED.pop().remove()
+        with tracked() as made:
+            out = f(spark, docs, sf_dir)
+        _FINISHED.extend(made)
+        return out
+
+    return run_stage
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -19,27 +40,32 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(maybe_broadcast(gone, gone.count()), docs["doc_id"] == F.col("gone_id"), "left_anti")
 
 
+@_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the good labels draws."""
     judged = quality.quality_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return _without(docs, judged.where(~F.col("selected")))
 
 
+@_stage
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
     return _without(docs, exact_dedup.exact_dedup(docs).where(~F.col("kept")))
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     return _without(docs, minhash.near_duplicates(docs).where(~F.col("kept")))
 
 
+@_stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that repeat an earlier one."""
     return substring_dedup.dedup_substrings(docs)
 
 
+@_stage
 def token_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of each document's pieces in sequences of 4096 tokens."""
     return packing.pack(docs, queries.vocabulary("word_bpe_49k.json"), capacity=4096, end_id=1)

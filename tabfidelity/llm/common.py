@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,20 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_TRACKED: list[list[Scratch]] = []
+
+
+@contextlib.contextmanager
+def tracked() -> Iterator[list[Scratch]]:
+    """Collects the scratch folders that are made inside, so that a caller who has written the result can remove them."""
+    made: list[Scratch] = []
+    _TRACKED.append(made)
+    try:
+        yield made
+    finally:
+        _TRACKED.remove(made)
+
+
 class Scratch:
     """Tables and files of one operator run, in the shared folder, removed when the application ends.
 
@@ -46,8 +61,12 @@ class Scratch:
         self.root = f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
         path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
         self._fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        whole = self._fs.makeQualified(path).toString()  # with its scheme, so that other readers find the same store
+        self.root = f"file://{whole[5:]}" if whole.startswith("file:/") and not whole.startswith("file://") else whole
         self._fs.mkdirs(path)
         self._fs.deleteOnExit(path)
+        for made in _TRACKED:
+            made.append(self)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -66,6 +85,10 @@ class Scratch:
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
+    def remove(self) -> None:
+        """Delete everything, once nothing lazy depends on it."""
+        self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.root), True)
+
     def drop(self, *names: str) -> None:
         """Delete tables that nothing lazy depends on any more."""
         for name in names:

@@ -205,14 +205,15 @@ class _Search:
     """The tables of one run. A class has a number cid, rep, the least doc_id of its documents, n, the size of its set, and sig."""
 
     def __init__(self, docs: DataFrame, scratch: Scratch, n_hashes: int, rows: int, words: int, percent: int, near: float, tile: int, seed: int):
-        self.tile = tile
+        self.tile, self.names = tile, ["signed"]
         self.docs, self.scratch, self.words, self.percent, self.near = docs.withColumn("version", F.xxhash64("text")), scratch, words, percent, near
         self.rows, self.bands, self.step = rows, n_hashes // rows, 0
         self.signed = scratch.table(self.docs.mapInArrow(_sign(n_hashes, seed, words), "doc_id long, version long, n_shingles long, digest binary, sig binary"), "signed")
 
     def table(self, df: DataFrame, what: str) -> DataFrame:
         self.step += 1
-        return self.scratch.table(df, f"{what}-{self.step}")
+        self.names.append(f"{what}-{self.step}")
+        return self.scratch.table(df, self.names[-1])
 
     def classes(self) -> None:
         real = self.signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
@@ -280,5 +281,7 @@ def near_duplicates(docs: DataFrame, n_hashes: int = 160, rows: int = 4, words:
     ids = search.reps.select("cid", "rep")
     edges = links.join(ids.toDF("u", "ru"), "u").join(ids.toDF("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
     roots = components(edges.union(search.class_of.toDF("u", "v")), search.scratch, "roots")
-    out = search.signed.select("doc_id", "n_shingles").join(roots, F.col("doc_id") == F.col("node"), "left")
+    sizes = search.scratch.table(search.signed.select("doc_id", "n_shingles"), "sizes")
+    search.scratch.drop(*search.names)  # signatures, texts and pairs are done with
+    out = sizes.join(roots, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), F.coalesce(F.coalesce("root", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))

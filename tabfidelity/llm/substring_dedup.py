@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, claim, free_name, maybe_broadcast
+from .common import Scratch, claim, free_name
 from .tokens import slices
 
 CUT = re.compile(r"((?<=[.!?])\s+|\n\s*)")
@@ -122,7 +122,7 @@ def repeated_starts(docs: DataFrame, scratch: Scratch, run: int, min_words: int,
     """doc_id, version and starts: the places of the runs that repeat an earlier one. docs has doc_id, version and text."""
     spans = scratch.table(docs.mapInArrow(_spans(run, min_words, long_words), "doc_id long, version long, place int, h1 long, h2 long"), "spans")
     twice = scratch.table(spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "twice")
-    shared = scratch.table(spans.join(maybe_broadcast(twice, twice.count(), 300_000), "h1", "left_semi"), "shared")
+    shared = scratch.table(spans.join(twice, "h1", "left_semi"), "shared")
     scratch.drop("spans", "twice")
     spot = F.struct("doc_id", "version", "place")
     first = shared.groupBy("h1", "h2").agg(F.min(spot).alias("first"), F.count("*").alias("n")).where("n > 1")
