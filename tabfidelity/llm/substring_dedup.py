@@ -3,10 +3,12 @@
 Every run of `run` consecutive sentences is hashed; of equal runs over all documents the first by (doc_id, place) stays, and
 sentences that any later one covers are removed, whole and with the white space after them.
 
-A text is cut after `.`, `!` or `?` before white space, and at line feeds; a sentence of over `long_words` words is cut on after
-words whose own hash says so, so that texts without punctuation have the same cuts wherever a passage stands. Sentences
-are compared after lower-casing A-Z and with single blanks. Runs with fewer than `min_words` words in all are too short to
-tell a copy from chance and are not compared.
+A text is cut after words that its own content picks: of every `window` words in a row the one with the least key, where ends of
+sentences (`.`, `!` or `?` before white space, and line feeds) come before other words and the rest is a hash of the word and the one
+before. Pieces of fewer than `least` words are joined with what follows. A passage so has the same cuts wherever it stands,
+but for up to `window` words at either end, and over 50 words hold a whole run of three; short lines are joined to pieces.
+"Sentences" below are these pieces. They are compared after lower-casing A-Z and with single blanks. A run has fewer than `min_words`
+words only where it is all of a text, which is too short to tell a copy from chance and is not compared.
 
 Runs are told apart by 128 bits. A first pass counts 64 of them, summed before the shuffle, which leaves the runs
 that repeat; only those are joined with their first place. A run that a third of all documents hold is a few counts in
@@ -21,7 +23,6 @@ columns come back unchanged, `n_chars`, where it is there, is that of the new te
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,51 +34,61 @@ from pyspark.sql import functions as F
 from .common import Scratch, claim, free_name
 from .tokens import slices
 
-CUT = re.compile(r"((?<=[.!?])\s+|\n\s*)")
-LONG_WORDS, RUN, MIN_WORDS = 40, 3, 8
+WORD = re.compile(r"[^ \t-\r]+[ \t-\r]*")  # bytes.split() has the same blanks
+WINDOW, LEAST, RUN, MIN_WORDS = 8, 4, 3, 8
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+CACHE_WORDS = 200_000
 
 
-def sentences(text: str | None, long_words: int = LONG_WORDS) -> list[str]:
-    """The text in pieces that join to it again; each is a sentence and the white space after it."""
+class _Words(dict):
+    """Hash of a word with the blanks after it, as many as fit; the lowest bit is 1 unless a sentence ends there."""
+
+    def __missing__(self, token: str) -> int:
+        word = token.rstrip(" \t\n\r\v\f")
+        end = (word[-1] in ".!?" and len(token) > len(word)) or "\n" in token
+        h = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass").lower()) & ~1 | (not end)
+        if len(self) < CACHE_WORDS:
+            self[token] = h
+        return h
+
+
+def sentences(text: str | None, window: int = WINDOW, words: _Words | None = None) -> list[str]:
+    """The text in pieces that join to it again; each is some words and the white space after them."""
     if not text:
         return []
-    parts = CUT.split(text)
-    out = []
-    for i in range(0, len(parts), 2):
-        body, space = parts[i], parts[i + 1] if i + 1 < len(parts) else ""
-        if not body:
-            if out:
-                out[-1] += space
-            elif space:
-                out.append(space)
-            continue
-        if body.count(" ") < long_words:
-            out.append(body + space)
-            continue
-        piece: list[str] = []
-        for word in body.split(" "):
-            piece.append(word)
-            if len(piece) >= 4 and zlib.crc32(word.encode("utf-8", "surrogatepass")) % 8 == 0:
-                out.append(" ".join(piece) + " ")
-                piece = []
-        if piece:
-            out.append(" ".join(piece) + space)
-        else:
-            out[-1] = out[-1][:-1] + space
+    tokens = WORD.findall(text)
+    n = len(tokens)
+    if n <= window:
+        return [text]
+    words = _Words() if words is None else words
+    h = np.fromiter(map(words.__getitem__, tokens), np.uint64, n)
+    key = h >> np.uint64(1)
+    key[1:] ^= key[:-1] * K1
+    key = (key * K2) >> np.uint64(1) | h << np.uint64(63)
+    picked = np.lib.stride_tricks.sliding_window_view(key[::-1], window).argmin(1)  # of equal keys the last word's
+    ends, last = [], 0
+    for p in np.unique(n - picked - np.arange(n - window + 1)).tolist():
+        if p - last >= LEAST:
+            ends.append(p)
+            last = p
+    if ends and n - last < LEAST:
+        ends.pop()
+    ends.append(n)
+    out = ["".join(tokens[a:b]) for a, b in zip([0, *ends], ends)]
+    out[0] = text[: len(text) - sum(map(len, tokens))] + out[0]
     return out
 
 
-def runs(text: str | None, run: int = RUN, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS) -> tuple[np.ndarray, np.ndarray]:
+def runs(text: str | None, run: int = RUN, min_words: int = MIN_WORDS, window: int = WINDOW, words: _Words | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places and 128-bit hashes of the runs of a text."""
-    pieces = [s.encode("utf-8", "surrogatepass").lower().split() for s in sentences(text, long_words)]
+    pieces = [s.encode("utf-8", "surrogatepass").lower().split() for s in sentences(text, window, words)]
     n = len(pieces)
     if not n:
         return np.zeros(0, np.int32), np.zeros((0, 2), np.uint64)
     size = min(run, n)
     h = np.frombuffer(b"".join(xxhash.xxh3_128_digest(b" ".join(p)) for p in pieces), "<u8").reshape(-1, 2)
-    words = np.cumsum([0, *map(len, pieces)])
-    long_enough = words[size:] - words[:-size] >= min_words
+    upto = np.cumsum([0, *map(len, pieces)])
+    long_enough = upto[size:] - upto[:-size] >= min_words
     mixed = np.zeros((n - size + 1, 2), np.uint64)
     for k in range(size):
         part = h[k : n - size + 1 + k]
@@ -88,11 +99,12 @@ def runs(text: str | None, run: int = RUN, min_words: int = MIN_WORDS, long_word
     return np.flatnonzero(long_enough).astype(np.int32), mixed[long_enough]
 
 
-def _spans(run: int, min_words: int, long_words: int):
+def _spans(run: int, min_words: int, window: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
+        words = _Words()
         for b in slices(batches):
-            found = [runs(t, run, min_words, long_words) for t in b.column("text").to_pylist()]
+            found = [runs(t, run, min_words, window, words) for t in b.column("text").to_pylist()]
             n = [len(p) for p, _ in found]
             hashes = np.concatenate([h for _, h in found]).view(np.int64)
             each = np.repeat(np.arange(len(n)), n)
@@ -101,13 +113,14 @@ def _spans(run: int, min_words: int, long_words: int):
     return go
 
 
-def _strip(run: int, long_words: int):
+def _strip(run: int, window: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
+        words = _Words()
         for b in slices(batches):
             kept, total, gone = [], [], []
             for text, starts in zip(b.column("text").to_pylist(), b.column("starts").to_pylist(), strict=True):
-                parts = sentences(text, long_words)
+                parts = sentences(text, window, words)
                 dead = {i for s in starts or () for i in range(s, min(s + run, len(parts)))}
                 kept.append("".join(p for i, p in enumerate(parts) if i not in dead) if dead else text or "")
                 total.append(len(parts))
@@ -118,9 +131,9 @@ def _strip(run: int, long_words: int):
     return go
 
 
-def repeated_starts(docs: DataFrame, scratch: Scratch, run: int, min_words: int, long_words: int) -> DataFrame:
+def repeated_starts(docs: DataFrame, scratch: Scratch, run: int, min_words: int, window: int) -> DataFrame:
     """doc_id, version and starts: the places of the runs that repeat an earlier one. docs has doc_id, version and text."""
-    spans = scratch.table(docs.mapInArrow(_spans(run, min_words, long_words), "doc_id long, version long, place int, h1 long, h2 long"), "spans")
+    spans = scratch.table(docs.mapInArrow(_spans(run, min_words, window), "doc_id long, version long, place int, h1 long, h2 long"), "spans")
     twice = scratch.table(spans.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "twice")
     shared = scratch.table(spans.join(twice, "h1", "left_semi"), "shared")
     scratch.drop("spans", "twice")
@@ -130,19 +143,19 @@ def repeated_starts(docs: DataFrame, scratch: Scratch, run: int, min_words: int,
     return later.groupBy("doc_id", "version").agg(F.collect_set("place").alias("starts"))  # as many as the document has sentences at most
 
 
-def dedup_substrings(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, long_words: int = LONG_WORDS, key: str = "doc_id", text: str = "text", counts: bool = False) -> DataFrame:
+def dedup_substrings(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS, window: int = WINDOW, key: str = "doc_id", text: str = "text", counts: bool = False) -> DataFrame:
     """docs with repeated passages removed; with counts, n_sentences and n_removed too."""
     scratch = Scratch(docs.sparkSession, "substring-dedup")
     version = F.xxhash64(F.coalesce(docs[text], F.lit("")))
     bare = docs.select(docs[key].cast("long").alias("doc_id"), version.alias("version"), docs[text].cast("string").alias("text"))
-    starts = scratch.table(repeated_starts(bare, scratch, run, min_words, long_words), "starts")
+    starts = scratch.table(repeated_starts(bare, scratch, run, min_words, window), "starts")
     scratch.drop("shared")
 
     # Extra columns travel in a struct, whatever their names.
     extra = [c for c in docs.columns if c not in (key, text)]
     carried = docs.select(docs[key].cast("long").alias("_id"), version.alias("_version"), docs[text].cast("string").alias("text"), F.struct(docs[key].alias("key"), *(docs[c].alias(f"c{i}") for i, c in enumerate(extra))).alias("row"))
     joined = carried.join(starts, carried["_id"].eqNullSafe(starts["doc_id"]) & (carried["_version"] == starts["version"]), "left").select("text", "starts", "row")
-    stripped = joined.mapInArrow(_strip(run, long_words), f"text string, n_sentences int, n_removed int, row {joined.schema['row'].dataType.simpleString()}")
+    stripped = joined.mapInArrow(_strip(run, window), f"text string, n_sentences int, n_removed int, row {joined.schema['row'].dataType.simpleString()}")
     at = {c: F.length("text").cast(docs.schema[c].dataType) if c.lower() == "n_chars" else F.col(f"row.c{i}") for i, c in enumerate(extra)}
     out = [F.col("row.key").alias(key) if c == key else F.col("text").alias(text) if c == text else at[c].alias(c) for c in docs.columns]
     if counts:

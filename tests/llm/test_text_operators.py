@@ -220,6 +220,24 @@ def test_planted_passages_go_and_others_stay(spark):
             assert p not in out[i] and len(docs[i][1]) - len(out[i]) > 0.5 * len(p)
 
 
+def caught(spark, pairs):
+    """The number of words removed from the second of each pair of documents, all in one run."""
+    docs = [(2 * i + k, t) for i, pair in enumerate(pairs) for k, t in enumerate(pair)]
+    out = {r["doc_id"]: r["text"] for r in substring_dedup.dedup_substrings(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert all(out[2 * i] == a for i, (a, _) in enumerate(pairs))
+    return [len(b.split()) - len(out[2 * i + 1].split()) for i, (_, b) in enumerate(pairs)]
+
+
+@pytest.mark.parametrize("n", [51, 60, 78])
+def test_passages_of_two_sentences_and_in_mid_sentence(spark, n):
+    rng = random.Random(n)
+    words = lambda k: " ".join(f"u{rng.randrange(10**6)}" for _ in range(k))
+    two = lambda: f"{words(n // 2).capitalize()}. {words(n - n // 2).capitalize()}."
+    own = [tuple(f"{words(30)}.\n{p}\n{words(30)}." for _ in range(2)) for p in (two() for _ in range(30))]
+    mid = [tuple(f"{words(a)} {p} {words(b)}." for a, b in ((33, 25), (18, 40))) for p in (words(n) for _ in range(30))]
+    assert min(caught(spark, own + mid)) >= 12
+
+
 def test_sentences_join_to_the_text():
     rng = random.Random(2)
     for _ in range(300):
