@@ -238,6 +238,13 @@ def test_passages_of_two_sentences_and_in_mid_sentence(spark, n):
     assert min(caught(spark, own + mid)) >= 12
 
 
+def test_short_lines_that_repeat(spark):
+    rng = random.Random(12)
+    words = lambda k: " ".join(f"u{rng.randrange(10**6)}" for _ in range(k))
+    lists = ["\n".join(words(k) for _ in range(60 // k)) for k in (1, 2) for _ in range(10)]
+    assert min(caught(spark, [tuple(f"{words(30)}.\n{x}\n{words(30)}." for _ in range(2)) for x in lists])) >= 12
+
+
 def test_sentences_join_to_the_text():
     rng = random.Random(2)
     for _ in range(300):
