@@ -8,11 +8,11 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabfidelity.llm import exact_dedup, minhash, packing, quality, queries, substring_dedup
-from tabfidelity.llm.common import Scratch, maybe_broadcast, tracked
+from tabfidelity.llm.common import Scratch, free_name, lower_ascii, maybe_broadcast, tracked
 
 
 _FINISHED: list[Scratch] = []
@@ -33,30 +33,67 @@ def _stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[
     return run_stage
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """docs without the identifiers in gone. Rows with a null identifier stay."""
+def _without(docs: DataFrame, gone: DataFrame, version: Column) -> DataFrame:
+    """docs without the rows whose identifier, null or not, and version are in gone (doc_id, version)."""
     scratch = Scratch(docs.sparkSession, "pipeline")
-    gone = scratch.table(gone.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return docs.join(maybe_broadcast(gone, gone.count()), docs["doc_id"] == F.col("gone_id"), "left_anti")
+    gone = scratch.table(gone.select(F.col("doc_id").cast("long").alias("gone_id"), F.col("version").alias("gone_version")).distinct(), "gone")
+    return docs.join(maybe_broadcast(gone, gone.count()), docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & version.eqNullSafe(F.col("gone_version")), "left_anti")
+
+
+def _digest(docs: DataFrame) -> Column:
+    """64 bits of the digest that exact_dedup gives a text; within one identifier they tell texts apart."""
+    return F.xxhash64(exact_dedup.sha256_of(lower_ascii(docs["text"])))
+
+
+def _one_each(docs: DataFrame, by: list[Column]) -> DataFrame:
+    """One row of each group of rows, the greatest in JSON, summed before the shuffle."""
+    row = F.struct(*(docs[c] for c in docs.columns))
+    return docs.groupBy(*by).agg(F.max_by(row, F.to_json(row)).alias("row")).select("row.*")
 
 
 @_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling towards the good labels draws."""
-    judged = quality.quality_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, judged.where(~F.col("selected")))
+    judged = quality.quality_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), version=True)
+    return _without(docs, judged.where(~F.col("selected")), F.xxhash64(docs["text"].cast("string")))
 
 
 @_stage
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _without(docs, exact_dedup.exact_dedup(docs).where(~F.col("kept")))
+    """One row of each group of equal texts, also where rows repeat an identifier or have none."""
+    judged = exact_dedup.exact_dedup(docs).select("doc_id", F.xxhash64("text_sha256").alias("version"), "kept")
+    scratch = Scratch(spark, "pipeline-exact")
+    dropped = scratch.table(judged.groupBy("doc_id", "version").agg(F.max("kept").alias("keeps"), F.min("kept").alias("all")).where(~F.col("all")), "dropped")
+    out = _without(docs, dropped, _digest(docs))
+    # Rows that repeat the identifier of the one that stays: any one of them, as their texts are equal.
+    torn = dropped.where("keeps").select(F.col("doc_id").alias("torn_id"), F.col("version").alias("torn_version"))
+    n = torn.count()
+    if not n:
+        return out
+    rows = docs.join(maybe_broadcast(torn, n), docs["doc_id"].cast("long").eqNullSafe(F.col("torn_id")) & _digest(docs).eqNullSafe(F.col("torn_version")), "left_semi")
+    return out.unionByName(_one_each(rows, [rows["doc_id"], _digest(rows)]))
 
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return _without(docs, minhash.near_duplicates(docs).where(~F.col("kept")))
+    """One row of each group of near copies, also where rows repeat an identifier or have none.
+
+    The operator takes rows with one identifier for one document, so such rows get identifiers made from their texts here.
+    """
+    scratch = Scratch(spark, "pipeline-near")
+    shared = scratch.table(docs.groupBy(F.col("doc_id").cast("long").alias("shared_id")).count().where("count > 1 OR shared_id IS NULL").select("shared_id"), "shared")
+    n = shared.count()
+    if not n:
+        return _without(docs, minhash.near_duplicates(docs).where(~F.col("kept")).select("doc_id", F.lit(0).alias("version")), F.lit(0))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("shared_id"))
+    few = docs.join(maybe_broadcast(shared, n), same, "left_semi")
+    few = _one_each(few, [few["doc_id"], F.xxhash64(few["text"])])
+    made = F.xxhash64("doc_id", "text").bitwiseAND(F.lit((1 << 61) - 1)).bitwiseOR(F.lit(1 << 62))  # above usual identifiers, so that those stay
+    name = free_name(docs.columns, "row_id")
+    alone = docs.join(maybe_broadcast(shared, n), same, "left_anti").withColumn(name, F.col("doc_id").cast("long"))
+    rows = scratch.table(alone.unionByName(few.withColumn(name, made)), "rows")
+    gone = scratch.table(minhash.near_duplicates(rows, key=name).where(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    return rows.join(maybe_broadcast(gone, gone.count()), rows[name] == F.col("gone_id"), "left_anti").drop(name)
 
 
 @_stage

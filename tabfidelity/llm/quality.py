@@ -88,13 +88,13 @@ class Models:
         return float(n @ (np.log((t + self.alpha) / (size + room)) - np.log((self.raw[b] + self.alpha) / (self.raw.sum() + room))))
 
 
-def _score(shared, buckets: int):
+def _score(shared, buckets: int, version: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("quality")
         models, hashes = shared.value, _Hashes()
         for b in slices(batches):
             weights = [models.weight(ngram_buckets(t, buckets, hashes), g) for t, g in zip(b.column("text").to_pylist(), b.column("good").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(weights, pa.float64())], names=["doc_id", "log_weight"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *([b.column("version")] if version else []), pa.array(weights, pa.float64())], names=["doc_id", *(["version"] if version else []), "log_weight"])
 
     return run
 
@@ -165,12 +165,14 @@ def _sized(marks: DataFrame) -> DataFrame:
     return F.broadcast(marks) if marks.count() <= 1_000_000 else marks
 
 
-def score(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, seed: int = 42, max_labelled: int = 20_000, key: str = "doc_id", text: str = "text", good: str = "quality") -> tuple[DataFrame, float, int | None]:
-    """A scratch table (doc_id, row, log_weight, rank_key), the cut, and the rank key of the last document drawn (None: all)."""
+def score(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, seed: int = 42, max_labelled: int = 20_000, key: str = "doc_id", text: str = "text", good: str = "quality", version: bool = False) -> tuple[DataFrame, float, int | None]:
+    """A scratch table (doc_id, log_weight, rank_key), with version the texts' xxhash64 too, the cut, and the rank key of the last document drawn (None: all)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
     shared = spark.sparkContext.broadcast(fit(docs, labels, buckets, key=key, text=text, good=good))
-    weighed = _marked(docs, labels, key, text, good).mapInArrow(_score(shared, buckets), "doc_id long, log_weight double")
+    marked = _marked(docs, labels, key, text, good)
+    marked = marked.withColumn("version", F.xxhash64("text")) if version else marked
+    weighed = marked.mapInArrow(_score(shared, buckets, version), f"doc_id long, {'version long, ' if version else ''}log_weight double")
     scored = scratch.table(weighed.withColumn("rank_key", _sortable(F.col("log_weight") + gumbel(F.col("doc_id"), seed))), "scored")
     marks = _marks(labels, key, good)
     # The bound: about max_labelled labelled documents, by a hash of the identifier.
@@ -185,7 +187,7 @@ def score(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, seed: int =
     return scored, cut, kth_greatest(scored, "rank_key", k) if k else 1 << 62
 
 
-def quality_sample(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, seed: int = 42, max_labelled: int = 20_000) -> DataFrame:
-    """doc_id, log_weight, gumbel_key, selected: one row for each row of docs."""
-    scored, _, last = score(docs, labels, buckets, seed, max_labelled)
-    return scored.select("doc_id", "log_weight", (F.col("rank_key") / 65536).alias("gumbel_key"), (F.lit(True) if last is None else F.col("rank_key") >= F.lit(last)).alias("selected"))
+def quality_sample(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, seed: int = 42, max_labelled: int = 20_000, version: bool = False) -> DataFrame:
+    """doc_id, log_weight, gumbel_key, selected: one row for each row of docs. With version, the text's xxhash64 too, which tells rows with one identifier apart."""
+    scored, _, last = score(docs, labels, buckets, seed, max_labelled, version=version)
+    return scored.select("doc_id", *(["version"] if version else []), "log_weight", (F.col("rank_key") / 65536).alias("gumbel_key"), (F.lit(True) if last is None else F.col("rank_key") >= F.lit(last)).alias("selected"))
