@@ -6,7 +6,8 @@ sentences that any later one covers are removed, whole and with the white space
 A text is cut after words that its own content picks: of every `window` words in a row the one with the least key, where ends of
 sentences (`.`, `!` or `?` before white space, and line feeds) come before other words and the rest is a hash of the word and the one
 before. Pieces of fewer than `least` words are joined with what follows. A passage so has the same cuts wherever it stands,
-but for up to `window` words at either end, and over 50 words hold a whole run of three; short lines are joined to pieces.
+but for some words at either end. Over 50 words nearly always hold a whole run of three (a model of the rule missed none of 1500 windows
+of 51 words of real text), which joining short pieces keeps from being certain; short lines are joined to pieces.
 "Sentences" below are these pieces. They are compared after lower-casing A-Z and with single blanks. A run has fewer than `min_words`
 words only where it is all of a text, which is too short to tell a copy from chance and is not compared.
 
