@@ -23,13 +23,15 @@ def lower_ascii(c: Column) -> Column:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is made only where the cluster names none, as in tests."""
+    """The folder that driver and executors share; a local one is made only where none is named and the master is local, as in tests."""
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm_dir.isDefined():
             return jvm_dir.get()
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tabfidelity-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext._jsc.sc().getCheckpointDir().get()
@@ -85,6 +87,10 @@ class Scratch:
     def read(self, name: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).parquet(self.path(name))
 
+    def files(self, name: str) -> list[str]:
+        """Names of the files of a table."""
+        return [f.getPath().getName() for f in self._fs.listStatus(self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name)))]
+
     def remove(self) -> None:
         """Delete everything, once nothing lazy depends on it."""
         self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.root), True)
@@ -113,6 +119,8 @@ def claim(owner: str, drop: Callable[[], None] | None = None) -> None:
     if drop:
         _CLAIMED[owner] = drop
     pa.default_memory_pool().release_unused()
+    pa.set_memory_pool(pa.system_memory_pool())  # what is freed there goes back with the trim below
+    pa.set_cpu_count(1)  # a task has one core
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # another C library

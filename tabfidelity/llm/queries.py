@@ -6,17 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import exact_dedup, minhash, packing, quality, sentencepiece_nbest, sharding, substring_dedup, tiff, token_files, url_filter
+from .tokens import vocabulary
 
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
-def vocabulary(name: str) -> str:
-    """The place of a public vocabulary file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -98,13 +92,16 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM cut
     "op8_exact_dedup": f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW same AS (PARTITION BY t)""",
+    "op10_byte_shards": f"""
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i) UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, {0xEDB88320}) ELSE c >> 1 END FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+bytes AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, hex(encode(coalesce(text, ''))) AS x FROM documents),
+sums AS (
+  SELECT doc_id, size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, size - 1), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+    lambda a, v: xor(a >> 8, t[(xor(a, v) & 255) + 1]))) AS crc FROM bytes, crc_table),
+laid AS (
+  SELECT doc_id, size, crc, coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, crc ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 8 // sum(size) OVER () AS shard,
+    row_number() OVER (ORDER BY doc_id NULLS FIRST, size, crc) AS place FROM sums)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard::INTEGER AS shard, place - min(place) OVER (PARTITION BY shard) AS slot, NULL::INTEGER AS grown_shard FROM laid""",
 }
-
-
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline  # at the repository's top; it imports this module
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
-QUERIES["pipeline"] = pipeline

@@ -60,10 +60,10 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 8, key: str = "doc_id", text
     everything = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = totals.select("slice", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("byte_offset"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("row_offset"), F.sum("bytes").over(everything).alias("total"))
 
-    wide = "decimal(38,0)"
-    located = placed.join(F.broadcast(offsets), "slice").select(
+    # An exact quotient of whole numbers: a product of bytes and shards may be wider than a long.
+    located = placed.join(F.broadcast(offsets), "slice").withColumn("before", F.col("byte_offset") + F.col("prefix")).select(
         "doc_id", "size", "text_crc32",
-        F.least(F.floor((F.col("byte_offset") + F.col("prefix")).cast(wide) * F.lit(n_shards).cast("decimal(10,0)") / F.col("total").cast(wide)), F.lit(n_shards - 1)).cast("int").alias("shard"),
+        F.expr(f"CAST((CAST(before AS DECIMAL(28,0)) * {n_shards}) div CAST(total AS DECIMAL(28,0)) AS INT)").alias("shard"),
         (F.col("row_offset") + F.col("rank")).alias("place"),
     )
     firsts = located.groupBy("shard").agg(F.min("place").alias("first"))  # n_shards rows

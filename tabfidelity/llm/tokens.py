@@ -10,19 +10,29 @@ from __future__ import annotations
 
 import gc
 import json
+import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import claim
 
-CACHE_PARTS = 250_000
+CACHE_PARTS = 120_000
 MARKS = b",."
 COMBINING = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
 SEPARATE = ("WhitespaceSplit", "BertPreTokenizer", "Whitespace")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def check_border_safe(spec: dict) -> bool:
     """Whether no piece of this tokenizer reaches over white space."""
     pre = spec.get("pre_tokenizer") or {}
@@ -36,6 +46,14 @@ def check_border_safe(spec: dict) -> bool:
     return added and plain and splits and not any(s.get("add_prefix_space") for s in steps)
 
 
+def id_type(path: str) -> np.dtype:
+    """The least unsigned type, of two or four bytes, for the ids of a vocabulary file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    most = max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec.get("added_tokens", []))], default=0)
+    return np.dtype("<u2") if most < 1 << 16 else np.dtype("<u4")
+
+
 class Encoder:
     """encode_many(texts) gives each text's ids as a numpy array of the least unsigned type that holds every id.
 
@@ -46,13 +64,15 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        for name, value in (("RAYON_NUM_THREADS", "1"), ("TOKENIZERS_PARALLELISM", "false")):  # a task has one core
+            os.environ.setdefault(name, value)
         from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self._tok = Tokenizer.from_file(path)
         self.size = self._tok.get_vocab_size(with_added_tokens=True)
-        self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
+        self.dtype = id_type(path)
         self._by_part = check_border_safe(spec)
         norms = spec.get("normalizer") or {}
         self._lower = any(n["type"] == "Lowercase" for n in norms.get("normalizers", [norms] if norms else []))
@@ -166,15 +186,29 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-#: Rows of an Arrow batch that are Python objects at one time.
-SLICE = 500
+#: Rows, and bytes of texts, of an Arrow batch that are Python objects at one time.
+SLICE, SLICE_BYTES = 500, 8 << 20
+
+
+def _sizes(batch: pa.RecordBatch) -> np.ndarray:
+    """Bytes of the texts of each row."""
+    total = np.zeros(batch.num_rows, np.int64)
+    for c in batch.columns:
+        if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type):
+            total += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+    return total
 
 
-def slices(batches: Iterator, rows: int = SLICE) -> Iterator:
-    """Arrow batches in slices, so that a worker never holds a whole batch as Python objects."""
+def slices(batches: Iterator, rows: int = SLICE, size: int = SLICE_BYTES) -> Iterator:
+    """Arrow batches in slices of some rows and bytes, or of one longer row, so that a worker never holds a whole batch as Python objects."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        upto = np.cumsum(_sizes(b))
+        at = 0
+        while at < b.num_rows:
+            most = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, "right"))
+            to = max(at + 1, min(at + rows, most))
+            yield b.slice(at, to - at)
+            at = to
 
 
 def each_text(batches: Iterator, columns: tuple[str, ...], rows: int = SLICE) -> Iterator[list]:
