@@ -17,7 +17,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup.dedup_substrings(docs, counts=True).select("doc_id", "n_sentences", "n_removed", "text")
+    return substring_dedup.dedup_substrings(docs, counts=True).select("doc_id", "n_removed", "text")
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
