@@ -1,19 +1,24 @@
 """SentencePiece encoding and decoding with the N best segmentations.
 
 The lattice of a text has an edge for each vocabulary piece that matches at a character, and for a character that no
-piece covers, one edge of its UTF-8 byte pieces. A forward Viterbi pass gives every node the best score of reaching it. These
-scores are the exact cost of what is left for a search that walks back from the end, so A* takes complete paths
-off its queue in order of their scores, and stops after N.
+piece covers, one edge of its UTF-8 byte pieces. A forward Viterbi pass gives every node the best score of reaching it, and the edge
+by which it is reached. These scores are the exact cost of what is left for a search that walks back from the end, so A*
+takes complete paths off its queue in order of their scores, and stops after N. The step whose cost equals that of the path in hand is
+taken at once, so each path taken off the queue is a whole one, and the queue never holds more than the paths that are still asked for.
+
+Equal scores are ordered by their pieces' ids, at every size: the forward pass keeps, of equal edges, the one whose path has the least ids, and
+equal paths on the queue are told apart where they part. The paths of the forward pass are a tree, and where two of them part
+is found with one jump pointer a node, so a line of one character a hundred thousand times costs what its length asks for.
 
 No piece reaches over two neighbours that stand side by side in no piece, so a text's lattice is a chain of smaller ones:
 of words, which start at space marks (checked when a model is loaded; a model without this has its texts searched
 whole), and of segments in words. A forward pass with the two best scores of each node gives a segment's best path and the
-loss of its next one, once while a bounded cache holds it. The N best of a chain are among the sums of its parts' N best, and of a text's words only the
-N - 1 with the least first losses can matter: for these alone A* is run.
+loss of its next one, once while a bounded cache holds it. The N best of a chain are among the sums of its parts' N best, and only
+the N - 1 parts with the least first losses can matter: for these alone A* is run. Of parts with equal first losses, those matter whose change
+moves the ids down and that stand first, and those whose change moves the ids up and that stand last.
 
-Equal scores are ordered by their pieces' ids, so results are whole and repeatable. Scores of a BPE model are its merge ranks; the best
-path is then the best by that sum, which isn't always that of its merges. Pieces of no use in a text (control, unknown,
-unused, byte) match nothing in the lattice but the byte edges above.
+Scores of a BPE model are its merge ranks; the best path is then the best by that sum, which isn't always that of its merges. Pieces of
+no use in a text (control, unknown, unused, byte) match nothing in the lattice but the byte edges above.
 
 Defined results: a null or empty text has one segmentation without pieces and score 0; a text with fewer than N
 segmentations has all of them; repeated rows are encoded each; an empty table gives no rows; extra columns are not carried.
@@ -22,11 +27,12 @@ segmentations has all of them; repeated rows are encoded each; an empty table gi
 from __future__ import annotations
 
 import heapq
+import gc
 import re
 import struct
 import zlib
-from collections.abc import Iterator
-from operator import itemgetter
+from collections.abc import Callable, Iterator
+from operator import add, itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +48,7 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BYTE_LOSS = -1e6
 CACHE_WORDS = 300_000
 INF = float("inf")
-_IDS, _SCORE, _LOSS = itemgetter(0), itemgetter(1), itemgetter(2)
-
-
-def _order(x: tuple[float, tuple[int, ...]]) -> tuple[float, tuple[int, ...]]:
-    """The greatest score first; equal scores by their ids."""
-    return -x[0], x[1]
+_FIRST_TWO = itemgetter(0, 1)
 
 
 def _fields(buf: bytes) -> Iterator[tuple[int, object]]:
@@ -80,6 +81,63 @@ def _fields(buf: bytes) -> Iterator[tuple[int, object]]:
             at += n
 
 
+class _Prefixes:
+    """The best ways to the nodes of a lattice: a tree with an edge (start, ids, score) into each node, and a pointer that jumps up."""
+
+    def __init__(self, n: int):
+        self.edge: list = [None] * (n + 1)
+        self.up, self.jump, self.depth = [0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+
+    def add(self, j: int, edge: tuple) -> None:
+        i = edge[0]
+        self.edge[j], self.up[j], self.depth[j] = edge, i, self.depth[i] + 1
+        far = self.jump[i]
+        self.jump[j] = self.jump[far] if self.depth[i] - self.depth[far] == self.depth[far] - self.depth[self.jump[far]] else i
+
+    def _lift(self, a: int, depth: int) -> int:
+        while self.depth[a] > depth:
+            a = self.jump[a] if self.depth[self.jump[a]] >= depth else self.up[a]
+        return a
+
+    def parted(self, i: int, x: tuple[int, ...], k: int, y: tuple[int, ...]) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """The ids of the edges by which the way to i and on by x, and that to k and on by y, part."""
+        if self.depth[i] > self.depth[k]:
+            other, one = self.parted(k, y, i, x)
+            return one, other
+        if self.depth[k] > self.depth[i]:
+            below = self._lift(k, self.depth[i] + 1)
+            y, k = self.edge[below][1], self.up[below]
+        if i == k:
+            return x, y
+        while self.up[i] != self.up[k]:
+            i, k = (self.jump[i], self.jump[k]) if self.jump[i] != self.jump[k] else (self.up[i], self.up[k])
+        return self.edge[i][1], self.edge[k][1]
+
+    def before(self, i: int, x: tuple[int, ...], k: int, y: tuple[int, ...]) -> bool:
+        one, other = self.parted(i, x, k, y)
+        return one < other
+
+    def offer(self, queue: list, new: tuple, room: int) -> None:
+        """Put a path where it belongs in a queue of `room` paths."""
+        at = len(queue)
+        while at and self._sooner(new, queue[at - 1]):
+            at -= 1
+        if at < room:
+            queue.insert(at, new)
+            del queue[room:]
+
+    def _sooner(self, a: tuple, b: tuple) -> bool:
+        if a[0] != b[0]:
+            return a[0] > b[0]
+        one, other = self.parted(a[1], a[2], b[1], b[2])
+        if one != other:
+            return one < other
+        p, q = a[3], b[3]  # the same way there: told apart by what follows
+        while p is not q and p[0] == q[0]:
+            p, q = p[1], q[1]
+        return p is not q and p[0] < q[0]
+
+
 class Model:
     """The pieces of a model file with the normaliser's settings that matter here."""
 
@@ -130,6 +188,11 @@ class Model:
         text = text.replace(" ", MARK)
         return MARK + text if self.prefix and text else text
 
+    def bytes_of(self, char: str) -> tuple[tuple[int, ...], float]:
+        """Ids and score of the edge for a character that no piece is."""
+        raw = char.encode("utf-8", "surrogatepass")
+        return tuple(self.byte_ids[b] for b in raw) if self.byte_ids else (self.unknown,), BYTE_LOSS * len(raw)
+
     def edges(self, text: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
         """For each place where an edge ends: (start, ids, score) of each that ends there."""
         n = len(text)
@@ -144,74 +207,85 @@ class Model:
                     ends[j].append((i, ids, score))
                     single = single or j == i + 1
             if not single:
-                raw = text[i].encode("utf-8", "surrogatepass")
-                made = tuple(self.byte_ids[b] for b in raw) if self.byte_ids else (self.unknown,)
-                ends[i + 1].append((i, made, BYTE_LOSS * len(raw)))
+                ends[i + 1].append((i, *self.bytes_of(text[i])))
         return ends
 
     def best(self, text: str) -> tuple[tuple[int, ...], float, float]:
         """The best ids of a lattice, their score, and the loss of the next best (infinite if there is none): the forward pass with two scores a node."""
-        ends = self.edges(text)
-        first, second, back = [0.0], [-INF], [None]
-        for j in range(1, len(text) + 1):
-            top = next_ = -INF
-            edge = None
-            for e in ends[j]:
-                i, _, s = e
-                v = first[i] + s
-                if v > top:
-                    next_, top, edge = top, v, e
-                elif v > next_:
-                    next_ = v
-                v = second[i] + s
-                if v > next_:
-                    next_ = v
-            first.append(top)
-            second.append(next_)
-            back.append(edge)
+        n, root = len(text), self.trie
+        first, second, back = [-INF] * (n + 1), [-INF] * (n + 1), [None] * (n + 1)
+        first[0] = 0.0
+        for i in range(n):  # whatever reaches i has been seen
+            top, next_ = first[i], second[i]
+            node, j, single = root, i, False
+            while j < n and (step := node.get(text[j])) is not None:
+                node, ids, score = step
+                j += 1
+                if ids is not None:
+                    v = top + score
+                    if v > first[j]:
+                        second[j] = max(first[j], next_ + score)
+                        first[j], back[j] = v, (i, ids)
+                    else:
+                        second[j] = max(second[j], v)
+                    single = single or j == i + 1
+            if not single:
+                ids, score = self.bytes_of(text[i])
+                j = i + 1
+                if top + score > first[j]:
+                    second[j] = max(first[j], next_ + score)
+                    first[j], back[j] = top + score, (i, ids)
+                else:
+                    second[j] = max(second[j], top + score)
         if second[-1] >= first[-1]:  # equal scores are told apart by ids
             (score, ids), *more = self.nbest(text, 2)
             return ids, score, score - more[0][0]
-        ids: list[int] = []
-        j = len(text)
+        way, j = [], n
         while j:
-            j, piece, _ = back[j]
-            ids[:0] = piece
-        return tuple(ids), first[-1], first[-1] - second[-1]
+            j, ids = back[j]
+            way.append(ids)
+        return tuple(k for ids in reversed(way) for k in ids), first[-1], first[-1] - second[-1]
 
     def nbest(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best (score, ids) of one lattice, best first: Viterbi forward, A* backward."""
         if not text:
             return [(0.0, ())]
         ends = self.edges(text)
-        best = [0.0]
+        best, tree = [0.0], _Prefixes(len(text))
         for j in range(1, len(text) + 1):
-            top = -INF
-            for i, _, s in ends[j]:
-                v = best[i] + s
-                if v > top:
-                    top = v
+            top, edge = -INF, None
+            for e in ends[j]:
+                v = best[e[0]] + e[2]
+                if v > top or v == top and tree.before(e[0], e[1], edge[0], edge[1]):
+                    top, edge = v, e
             best.append(top)
-        # (-(score so far + best that is left), order of arrival, place, score so far, (ids, path from here to the end))
-        queue: list[tuple] = [(-best[-1], 0, len(text), 0.0, None)]
-        push, pop, come = heapq.heappush, heapq.heappop, 0
+            tree.add(j, edge)
+        # Paths not taken yet, the next one first: (score, start and ids of the edge that parts it from a path taken, (ids, the rest) from there on).
+        queue: list[tuple[float, int, tuple[int, ...], tuple | None]] = []
         out: list[tuple[float, tuple[int, ...]]] = []
-        while queue and (len(out) < n or -queue[0][0] >= out[-1][0]):
-            _, _, j, so_far, path = pop(queue)
-            if j == 0:
-                ids: list[int] = []
-                while path is not None:
-                    ids += path[0]
-                    path = path[1]
-                out.append((so_far, tuple(ids)))
-                if len(out) >= 64 * n:  # more equal scores than can be told apart in order
-                    break
-                continue
-            for i, piece, s in ends[j]:
-                come += 1
-                s += so_far
-                push(queue, (-(s + best[i]), come, i, s, (piece, path)))
-        return sorted(out, key=_order)[:n] if len(out) > 1 else out
+        score, j, after, rest = best[-1], len(text), 0.0, None
+        while True:
+            # The path in hand: the forward pass's way to j, and `rest`, whose score is `after`.
+            room = n - len(out) - 1
+            v, tail, cost = j, rest, after
+            while v:
+                taken = tree.edge[v]
+                for e in ends[v]:
+                    if e is not taken:
+                        f = cost + e[2] + best[e[0]]
+                        if room and (len(queue) < room or f >= queue[-1][0]):
+                            tree.offer(queue, (f, e[0], e[1], (e[1], tail), cost + e[2]), room)
+                cost += taken[2]
+                tail = (taken[1], tail)
+                v = taken[0]
+            ids: list[int] = []
+            while tail is not None:
+                ids += tail[0]
+                tail = tail[1]
+            out.append((score, tuple(ids)))
+            if len(out) == n or not queue:
+                return out
+            score, j, _, rest, after = queue.pop(0)
 
     def words(self, text: str) -> list[str]:
         """The parts of a normalised text that no piece reaches over: marks and what follows them, and line feeds."""
@@ -219,8 +293,9 @@ class Model:
 
     def segments(self, word: str) -> list[str]:
         """A word cut wherever no piece reaches over."""
-        cuts = [k for k in range(1, len(word)) if word[k - 1 : k + 1] not in self.inside]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
+        inside = self.inside
+        cuts = [k for k, two in enumerate(map(add, word, word[1:]), 1) if two not in inside]
+        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])] if cuts else [word]
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         ids = np.asarray(ids, np.int64)
@@ -245,6 +320,37 @@ class Model:
 
 #: The best ids of a word or segment as bytes, their score, and the least loss of another segmentation.
 Best = tuple[bytes, float, float]
+#: The n best of a word or segment: loss, ids as bytes, and the place among them by ids alone.
+Options = list[tuple[float, bytes, int]]
+
+
+def _moves(options: Options) -> tuple[bool, bool]:
+    """Whether a change of least loss moves a part's ids down, and whether one moves them up."""
+    least = [o[2] < options[0][2] for o in options[1:] if o[0] == options[1][0]]
+    return any(least), not all(least)
+
+
+def _chain(losses: tuple[float, ...], parts: list[str], options: Callable[[str], Options], n: int) -> list[tuple[float, tuple[int, ...], tuple[tuple[int, bytes], ...]]]:
+    """The n best of a chain of parts, best first: (loss, what orders them by ids, (place, ids) of the parts that are not at their best).
+
+    losses: each part's first loss. options: a part's n best.
+    """
+    every = np.array(losses)
+    cut = np.partition(every, n - 2)[n - 2] if len(every) >= n else INF
+    few = np.flatnonzero(every < cut).tolist()
+    even = np.flatnonzero(every == cut).tolist() if cut < INF else []
+    if len(few) + len(even) >= n:
+        moves = {x: _moves(options(x)) for x in {parts[i] for i in even}}
+        down = [i for i in even if moves[parts[i]][0]][: n - 1]
+        even = list({*down, *[i for i in even if moves[parts[i]][1]][1 - n :]})
+    sums: list[tuple[float, tuple[int, ...], tuple[tuple[int, bytes], ...]]] = [(0.0, (), ())]
+    for i in sorted(few + even):
+        (_, _, first), *others = options(parts[i])
+        longer = [(loss, (*key, first), picks) for loss, key, picks in sums]
+        longer += [(loss + o[0], (*key, o[2]), (*picks, (i, o[1]))) for loss, key, picks in sums for o in others]
+        longer.sort(key=_FIRST_TWO)
+        sums = longer[:n]
+    return sums
 
 
 class _Cache:
@@ -266,52 +372,71 @@ class _Cache:
                 self.young, self._old = {}, self.young
         return got
 
+    def each(self, keys: list[str]) -> list:
+        made = list(map(self.young.get, keys))
+        if None in made:
+            get = self.get
+            made = [get(k) if f is None else f for k, f in zip(keys, made)]
+        return made
+
 
 class Encoder:
     def __init__(self, path: str, n: int):
         self.model, self.n = Model(path), n
-        self._words, self._segments, self._all = _Cache(self._word, CACHE_WORDS), _Cache(self._segment, CACHE_WORDS), _Cache(self._choices, CACHE_WORDS // 10)
+        self._words, self._segments = _Cache(self._word, CACHE_WORDS), _Cache(self._segment, CACHE_WORDS)
+        self._all, self._parts = _Cache(self._choices, CACHE_WORDS // 10), _Cache(self._segment_choices, CACHE_WORDS // 10)
 
     def _segment(self, segment: str) -> Best:
         ids, score, loss = self.model.best(segment) if segment else ((), 0.0, INF)
         return struct.pack(f"<{len(ids)}I", *ids), score, loss
 
-    def _word(self, word: str) -> Best:
-        parts = [self._segments.get(x) for x in (self.model.segments(word) if self.model.by_word else [word])]
-        return parts[0] if len(parts) == 1 else (b"".join(map(_IDS, parts)), sum(map(_SCORE, parts)), min(map(_LOSS, parts)))
+    def _cut(self, word: str) -> list[str]:
+        return self.model.segments(word) if self.model.by_word else [word]
 
-    def _choices(self, word: str) -> list[tuple[float, bytes]]:
-        """(loss, ids) of a word's n best, which are among the sums of its segments' n best."""
-        best: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-        for part in self.model.segments(word) if self.model.by_word else [word]:
-            found = self.model.nbest(part, self.n)
-            best = sorted(((a + c, b + d) for a, b in best for c, d in found), key=_order)[: self.n]
-        return [(best[0][0] - s, np.array(ids, "<u4").tobytes()) for s, ids in best]
+    def _word(self, word: str) -> Best:
+        made = self._segments.each(self._cut(word))
+        if len(made) == 1:
+            return made[0]
+        ids, scores, losses = zip(*made)
+        return b"".join(ids), sum(scores), min(losses)
+
+    def _segment_choices(self, segment: str) -> Options:
+        found = self.model.nbest(segment, self.n)
+        place = {ids: k for k, ids in enumerate(sorted(ids for _, ids in found))}
+        return [(found[0][0] - s, struct.pack(f"<{len(ids)}I", *ids), place[ids]) for s, ids in found]
+
+    def _choices(self, word: str) -> Options:
+        """A word's n best, which are among the sums of its segments' n best."""
+        segments = self._cut(word)
+        if len(segments) == 1:
+            return self._segment_choices(word)
+        ids, _, losses = zip(*self._segments.each(segments))
+        found = _chain(losses, segments, self._parts.get, self.n)
+        place = {key: k for k, key in enumerate(sorted(key for _, key, _ in found))}
+        return [(loss, _swapped(ids, picks), place[key]) for loss, key, picks in found]
 
     def nbest(self, text: str | None) -> list[tuple[float, bytes]]:
         """(score, little-endian 32-bit ids) of the text's best segmentations, best first."""
-        words = self.model.words(self.model.normalise(text))
-        made = list(map(self._words.young.get, words))
-        if None in made:
-            made = [f if f is not None else self._words.get(w) for w, f in zip(words, made, strict=True)]
-        ids = list(map(_IDS, made))
-        total = sum(map(_SCORE, made))
-        out = [(total, b"".join(ids))]
-        if self.n == 1 or not made:
-            return out
-        # Leaving a word's best costs its first loss at least, so n - 1 words at most are left in the n best.
-        losses = np.fromiter(map(_LOSS, made), np.float64, len(made))
-        few = np.argsort(losses, kind="stable")[: self.n - 1] if len(losses) <= 64 else np.argpartition(losses, self.n - 2)[: self.n - 1]
-        choices = [(i, self._all.get(words[i])) for i in sorted(few.tolist()) if losses[i] < INF]
-        sums: list[tuple[float, tuple[int, ...]]] = [(0.0, ())]
-        for _, options in choices:
-            sums = heapq.nsmallest(self.n, ((loss + o[0], (*picks, k)) for loss, picks in sums for k, o in enumerate(options)))
-        for loss, picks in sums[1:]:
-            swapped = ids.copy()
-            for (i, options), k in zip(choices, picks, strict=True):
-                swapped[i] = options[k][1]
-            out.append((total - loss, b"".join(swapped)))
-        return out
+        return self.nbest_of(self.model.normalise(text))
+
+    def nbest_of(self, normal: str) -> list[tuple[float, bytes]]:
+        words = self.model.words(normal)
+        if not words:
+            return [(0.0, b"")]
+        ids, scores, losses = zip(*self._words.each(words))
+        total = sum(scores)
+        if self.n == 1:
+            return [(total, b"".join(ids))]
+        return [(total - loss, _swapped(ids, picks)) for loss, _, picks in _chain(losses, words, self._all.get, self.n)]
+
+
+def _swapped(ids: tuple[bytes, ...], picks: tuple[tuple[int, bytes], ...]) -> bytes:
+    if not picks:
+        return b"".join(ids)
+    swapped = list(ids)
+    for i, other in picks:
+        swapped[i] = other
+    return b"".join(swapped)
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
@@ -332,12 +457,15 @@ def _digest(path: str, n: int):
         enc = encoder(path, n)
         for keys, texts in each_text(batches, ("doc_id", "text")):
             rows = []
+            gc.disable()  # nothing here makes cycles, and there are many objects to look through
             for key, text in zip(keys, texts, strict=True):
-                want = enc.model.normalise(text).replace(MARK, " ")
+                normal = enc.model.normalise(text)
+                want = normal.replace(MARK, " ")
                 want = want[1:] if enc.model.prefix and want.startswith(" ") else want
-                for rank, (score, ids) in enumerate(enc.nbest(text)):
+                for rank, (score, ids) in enumerate(enc.nbest_of(normal)):
                     back = enc.model.decode(np.frombuffer(ids, "<u4")) == want if rank == 0 else None
                     rows.append((key, rank, score, len(ids) // 4, zlib.crc32(ids), back))
+            gc.enable()
             types = [pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.bool_()]
             cols = list(zip(*rows, strict=True)) or [()] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["doc_id", "rank", "score", "n_pieces", "ids_crc32", "round_trip"])
