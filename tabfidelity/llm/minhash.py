@@ -2,7 +2,8 @@
 
 1. One pass over the texts makes each document's set of distinct 5-word shingles (64-bit hashes), the set's digest, and
    the minima of `n_hashes` multiply-shift universal hashes over it.
-2. Documents with one set are a class, which is one row from here on, so copies cost nothing further.
+2. Documents with one set are a class, which is one row from here on, as are rows that repeat, so copies cost nothing further. The sets
+   of classes that share a band are stored once, for the steps that follow.
 3. The signature is cut into bands of `rows` minima. Classes that share a band meet in a bucket, but no pairs are made
    there. A class's weight is the size of all its buckets; its centre is the heaviest class that it meets. It is
    paired with its own centre and those of the classes it meets.
@@ -11,7 +12,8 @@
 5. A class that is a centre, or linked with its own, is done with. What is left is compared exactly in tiles: the classes that
    are not linked with a centre they are near to, with all that are near to it; and the classes left in a bucket, if they were not all near to
    one centre, with each other. A tile has some hundred classes on either side, so no group meets in one task, and
-   what comes out of it is a forest of links, not pairs. Intersections of a tile are one matrix product.
+   what comes out of it is a forest of links, not pairs. Intersections of a tile are one matrix product. A group of n classes of which x ask
+   is n * ceil(x / tile) + x * ceil(n / tile) rows.
 6. Components of all links, by large-star and small-star.
 
 No link between classes that share a bucket is lost. If x and m are linked and b is x's centre, m was compared with b as
@@ -127,20 +129,30 @@ def _alike(least: float):
     return run
 
 
-def _judge(percent: int, words: int):
-    """Whether the full sets of each pair are similar enough; texts of v come in runs, and its set is made once a run."""
+def _members(words: int):
+    """The shingle sets of texts, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("minhash")
+        hashes = _Words()
+        for b in slices(batches):
+            sets = [shingle_set(t, words, hashes).tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("cid"), pa.array(sets, pa.binary())], names=["cid", "members"])
+
+    return run
+
+
+def _judge(percent: int):
+    """Whether the full sets of each pair are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("minhash")
-        last, base, hashes = None, None, _Words()
         for b in slices(batches):
             linked = []
-            for v, tu, tv in zip(*(b.column(c).to_pylist() for c in ("v", "tu", "tv")), strict=True):
-                if v != last:
-                    last, base = v, shingle_set(tv, words)
-                s = shingle_set(tu, words)
-                both = len(np.intersect1d(s, base, assume_unique=True))
-                linked.append(100 * both >= percent * (len(s) + len(base) - both))
+            for x, y in zip(b.column("mu"), b.column("mv"), strict=True):
+                s, t = (np.frombuffer(m.as_buffer(), np.uint64) for m in (x, y))
+                both = len(np.intersect1d(s, t, assume_unique=True))
+                linked.append(100 * both >= percent * (len(s) + len(t) - both))
             yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v"), pa.array(linked, pa.bool_())], names=["u", "v", "linked"])
 
     return run
@@ -167,7 +179,7 @@ def intersections(left: list[np.ndarray], right: list[np.ndarray], width: int =
     return out
 
 
-def _tile(percent: int, words: int):
+def _tile(percent: int):
     """Links between the two sides of a tile, as a forest."""
 
     def run(pdf):
@@ -177,8 +189,7 @@ def _tile(percent: int, words: int):
         if not len(asks) or not len(held):
             return pd.DataFrame({"u": [], "v": []}, dtype="int64")
         us, vs = asks["cid"].to_numpy(), held["cid"].to_numpy()
-        hashes = _Words()
-        left, right = ([shingle_set(t, words, hashes) for t in side["text"]] for side in (asks, held))
+        left, right = ([np.frombuffer(m, np.uint64) for m in side["members"]] for side in (asks, held))
         both = intersections(left, right)
         total = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :]
         linked = (100 * both >= percent * (total - both)) & (us[:, None] != vs[None, :])
@@ -219,18 +230,19 @@ class _Search:
         real = self.signed.where("digest IS NOT NULL AND doc_id IS NOT NULL")
         least = self.table(real.groupBy("digest").agg(F.min(F.struct("doc_id", "version")).alias("first")).select("digest", F.col("first.doc_id").alias("rep"), F.col("first.version").alias("version"), F.monotonically_increasing_id().alias("cid")), "least")
         self.class_of = self.table(real.select("doc_id", "digest").join(least.select("digest", "rep"), "digest").select("doc_id", "rep").where("doc_id <> rep").distinct(), "class-of")
-        one = real.select("doc_id", "version", F.col("n_shingles").alias("n"), "sig").join(least.select("rep", "version", "cid"), (F.col("doc_id") == F.col("rep")) & (real["version"] == least["version"]))
-        self.reps = self.table(one.select("cid", "rep", least["version"], "n", "sig"), "reps")
+        rows = real.select(F.col("doc_id").alias("rep"), "version", "sig").dropDuplicates(["rep", "version"])  # one of rows that repeat, dealt as the join needs it
+        self.reps = self.table(rows.join(least.select("rep", "version", "cid"), ["rep", "version"]).select("cid", "rep", "version", "sig"), "reps")
 
     def buckets(self) -> DataFrame:
-        """(bucket, cid) of buckets with several classes, and the texts of these classes."""
+        """(bucket, cid) of buckets with several classes, and the sets of these classes."""
         width = 4 * self.rows
         band = F.explode(F.transform(F.sequence(F.lit(0), F.lit(self.bands - 1)), lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width)))))
         rows = self.reps.select("cid", band.alias("bucket"))
         several = rows.groupBy("bucket").agg(F.count("*").alias("k"), F.min("cid").alias("a"), F.max("cid").alias("b")).where("a <> b").select("bucket")
         meets = self.table(rows.join(several, "bucket", "left_semi").distinct(), "meets")
         met = self.table(meets.select("cid").distinct().join(self.reps.select("cid", "rep", "version"), "cid").select("cid", F.col("rep").alias("doc_id"), "version"), "met")
-        self.texts = self.table(self.docs.join(maybe_broadcast(met, met.count()), ["doc_id", "version"]).select("cid", "text"), "texts")
+        found = self.docs.join(maybe_broadcast(met, met.count()), ["doc_id", "version"]).select("cid", "text").dropDuplicates(["cid"])
+        self.sets = self.table(found.mapInArrow(_members(self.words), "cid long, members binary"), "sets")
         return meets
 
     def judge(self, pairs: DataFrame) -> DataFrame:
@@ -238,25 +250,28 @@ class _Search:
         one = self.reps.select(F.col("cid").alias("u"), F.col("sig").alias("su"))
         two = self.reps.select(F.col("cid").alias("v"), F.col("sig").alias("sv"))
         alike = self.table(pairs.join(one, "u").join(two, "v").select("u", "v", "su", "sv").mapInArrow(_alike(self.near), "u long, v long"), "alike")
-        tu, tv = self.texts.select(F.col("cid").alias("u"), F.col("text").alias("tu")), self.texts.select(F.col("cid").alias("v"), F.col("text").alias("tv"))
-        return self.table(alike.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv").mapInArrow(_judge(self.percent, self.words), "u long, v long, linked boolean"), "judged")
+        mu, mv = self.sets.select(F.col("cid").alias("u"), F.col("members").alias("mu")), self.sets.select(F.col("cid").alias("v"), F.col("members").alias("mv"))
+        return self.table(alike.join(mu, "u").join(mv, "v").select("u", "v", "mu", "mv").mapInArrow(_judge(self.percent), "u long, v long, linked boolean"), "judged")
 
     def tiles(self, groups: DataFrame) -> DataFrame:
         """Links in groups (kind, key, cid, asks): of the classes that ask, with all of their group."""
-        n = groups.groupBy("kind", "key").agg(F.count("*").alias("n"), F.count_if("asks").alias("x")).where("n > 1 AND x > 0").select("kind", "key", F.ceil(F.col("n") / self.tile).alias("cuts"))
-        dealt = groups.join(n, ["kind", "key"]).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("cuts")))
-        all_cuts = F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)
-        asking = dealt.where("asks").select("kind", "key", "cid", F.lit(True).alias("asks"), F.col("own").alias("i"), F.explode(all_cuts).alias("j"))
-        held = dealt.select("kind", "key", "cid", F.lit(False).alias("asks"), F.explode(all_cuts).alias("i"), F.col("own").alias("j"))
-        laid = asking.unionByName(held).join(self.texts, "cid")
-        return self.table(laid.groupBy("kind", "key", "i", "j").applyInPandas(_tile(self.percent, self.words), "u long, v long"), "tiled")
+        n = groups.groupBy("kind", "key").agg(F.count("*").alias("n"), F.count_if("asks").alias("x")).where("n > 1 AND x > 0")
+        n = self.table(n.select("kind", "key", F.ceil(F.col("x") / self.tile).alias("across"), F.ceil(F.col("n") / self.tile).alias("down")), "cuts")
+        dealt = groups.join(n, ["kind", "key"])
+        own = lambda cuts: F.pmod(F.xxhash64("cid"), F.col(cuts))
+        all_of = lambda cuts: F.explode(F.sequence(F.lit(0).cast("long"), F.col(cuts) - 1))
+        asking = dealt.where("asks").select("kind", "key", "cid", F.lit(True).alias("asks"), own("across").alias("i"), all_of("down").alias("j"))
+        held = dealt.select("kind", "key", "cid", F.lit(False).alias("asks"), all_of("across").alias("i"), own("down").alias("j"))
+        laid = asking.unionByName(held).join(self.sets, "cid")
+        return self.table(laid.groupBy("kind", "key", "i", "j").applyInPandas(_tile(self.percent), "u long, v long"), "tiled")
 
     def links(self, live: DataFrame) -> DataFrame:
         """Verified links between classes (u, v)."""
-        sizes = live.groupBy("bucket").agg(F.count("*").alias("k"))
+        # Sums by bucket are tables of their own, so that the planner can split a bucket that a third of all classes are in.
+        sizes = self.table(live.groupBy("bucket").agg(F.count("*").alias("k")), "bucket-sizes")
         weights = live.join(sizes, "bucket").groupBy("cid").agg(F.sum("k").alias("w"))
-        heavy = self.table(live.join(weights, "cid"), "heavy")
-        tops = heavy.groupBy("bucket").agg(F.max(F.struct("w", (-F.col("cid")).alias("c"))).alias("top"))
+        heavy = self.table(live.join(self.table(weights, "weights"), "cid"), "heavy")
+        tops = self.table(heavy.groupBy("bucket").agg(F.max(F.struct("w", (-F.col("cid")).alias("c"))).alias("top")), "tops")
         centres = self.table(heavy.join(tops, "bucket").groupBy("cid").agg(F.max("top").alias("top")).select("cid", (-F.col("top.c")).alias("b")), "centres")
         seen = live.join(centres, "cid").select("bucket", "b").distinct()
         pairs = self.table(live.join(seen, "bucket").where("cid <> b").select(F.col("cid").alias("u"), F.col("b").alias("v")).distinct(), "pairs")
@@ -282,6 +297,6 @@ def near_duplicates(docs: DataFrame, n_hashes: int = 160, rows: int = 4, words:
     edges = links.join(ids.toDF("u", "ru"), "u").join(ids.toDF("v", "rv"), "v").select(F.col("ru").alias("u"), F.col("rv").alias("v"))
     roots = components(edges.union(search.class_of.toDF("u", "v")), search.scratch, "roots")
     sizes = search.scratch.table(search.signed.select("doc_id", "n_shingles"), "sizes")
-    search.scratch.drop(*search.names)  # signatures, texts and pairs are done with
+    search.scratch.drop(*search.names)  # signatures, sets and pairs are done with
     out = sizes.join(roots, F.col("doc_id") == F.col("node"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), F.coalesce(F.coalesce("root", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
