@@ -1,17 +1,20 @@
 """Token ids in Arrow stream files with random access to equal-length sequences and masks.
 
-A file is an Arrow IPC file with a record batch per `BATCH` sequences and two columns: `ids`, a fixed-size list of the
-least unsigned type that holds every id, and `mask`, a fixed-size list of booleans, false where the last sequence is
-padded. Every sequence of a batch has one length, so sequence i is a slice of a buffer at a computed place, and a
-memory-mapped file is read without copies. Beside it, `*.docs.arrow` has a row per document: id, first token in the
+A file is an Arrow IPC file with a record batch per `BATCH` sequences and two columns of fixed-size lists: `ids`, of the
+least unsigned type that holds every id, and `mask`, of bytes, 0 where the last sequence is padded and 1 elsewhere. Every
+sequence of a batch has one length, so sequence i is a slice of two buffers at a computed place: `SequenceFile` maps a file and gives
+`sequence(i)` as views of it, without a copy. Beside it, `*.docs.arrow` has a row per document: id, first token in the
 file and number of tokens.
 
-Documents are range-partitioned in ascending order of their key, and each partition writes one file; a file's tokens
-follow those of the file before. A file gets its name only when it is whole, by a move, and the name depends on the partition alone: a task that
+Texts are encoded where they lie; their ids, two bytes each for the most part, are range-partitioned in ascending order of the documents'
+keys. Each partition writes files of about `FILE_TOKENS` tokens, whole documents each; a file's tokens
+follow those of the file before. Rows of the index are written as they come, so a task holds one batch of sequences and one of rows.
+A file gets its name only when it is whole, by a move, and the name depends on the partition alone: a task that
 runs again after a lost executor puts equal bytes in the same place.
 
 Defined results: a null or empty text is its end id alone; null keys come first; an empty table gives no files and no
-rows; rows that repeat a key are written each, ordered by text; other columns of the input are ignored.
+rows; rows that repeat a key are written each, ordered by their ids' checksum, and may be parted by a border of partitions; other columns of
+the input are ignored.
 """
 
 from __future__ import annotations
@@ -28,10 +31,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
-from .tokens import each_text, encoder
+from .tokens import each_text, encoder, id_type, slices
 
 BATCH = 256
-MANIFEST = "file int, path string, n_docs long, n_tokens long"
+INDEX_ROWS = 10_000
+FILE_TOKENS = 1 << 27
+MANIFEST = "path string, n_docs long, n_tokens long"
 
 
 def _open(root: str) -> tuple[pafs.FileSystem, str]:
@@ -44,7 +49,7 @@ class SequenceWriter:
     def __init__(self, sink, dtype: np.dtype, seq_len: int):
         self.seq_len, self.dtype, self.room = seq_len, dtype, seq_len * BATCH
         kind = pa.from_numpy_dtype(dtype)
-        self.schema = pa.schema([("ids", pa.list_(pa.field("item", kind, False), seq_len)), ("mask", pa.list_(pa.field("item", pa.bool_(), False), seq_len))])
+        self.schema = pa.schema([("ids", pa.list_(pa.field("item", kind, False), seq_len)), ("mask", pa.list_(pa.field("item", pa.uint8(), False), seq_len))])
         self.out = pa.ipc.new_file(sink, self.schema)
         self.parts: list[np.ndarray] = []
         self.held = self.total = 0
@@ -61,7 +66,7 @@ class SequenceWriter:
             self.parts, self.held = [every[whole:]], len(every) - whole
 
     def _batch(self, ids: np.ndarray, real: int) -> None:
-        mask = pa.array(np.arange(len(ids)) < real)
+        mask = pa.array((np.arange(len(ids)) < real).astype(np.uint8))
         cols = [pa.FixedSizeListArray.from_arrays(v, type=self.schema.field(i).type) for i, v in enumerate((pa.array(ids), mask))]
         self.out.write_batch(pa.record_batch(cols, schema=self.schema))
 
@@ -72,64 +77,136 @@ class SequenceWriter:
         self.out.close()
 
 
-def read_sequences(source) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """ids and mask of each record batch, a row per sequence, as views of the file's buffers."""
-    with pa.ipc.open_file(source) as f:
-        for i in range(f.num_record_batches):
-            b = f.get_batch(i)
-            n, width = b.num_rows, b.schema.field("ids").type.list_size
-            yield b.column("ids").flatten().to_numpy(zero_copy_only=True).reshape(n, width), b.column("mask").flatten().to_numpy(zero_copy_only=False).reshape(n, width)
+class SequenceFile:
+    """Random access to the sequences of a file. A local file is mapped, and what comes back are views of it."""
+
+    def __init__(self, path: str, store: pafs.FileSystem | None = None):
+        self._source = pa.memory_map(path) if store is None or isinstance(store, pafs.LocalFileSystem) else store.open_input_file(path)
+        self._file = pa.ipc.open_file(self._source)
+        self.seq_len = self._file.schema.field("ids").type.list_size
+        batches = self._file.num_record_batches
+        self._n = (batches - 1) * BATCH + self._file.get_batch(batches - 1).num_rows if batches else 0
+        self._at, self._views = -1, (np.zeros((0, 0)),) * 2
+
+    def __len__(self) -> int:
+        return self._n
+
+    def _batch(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if k != self._at:
+            b = self._file.get_batch(k)
+            self._views = tuple(b.column(c).flatten().to_numpy(zero_copy_only=True).reshape(b.num_rows, self.seq_len) for c in ("ids", "mask"))
+            self._at = k
+        return self._views
+
+    def sequence(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """ids and mask of sequence i."""
+        if not 0 <= i < self._n:
+            raise IndexError(f"sequence {i} of {self._n}")
+        ids, mask = self._batch(i // BATCH)
+        return ids[i % BATCH], mask[i % BATCH]
+
+    def tokens(self, start: int, n: int) -> Iterator[np.ndarray]:
+        """The ids start .. start + n of the file, a view for each sequence that has some of them."""
+        while n:
+            i, at = divmod(start, self.seq_len)
+            ids, mask = self.sequence(i)
+            part = ids[at : at + n]
+            if not mask[at : at + n].all():
+                raise ValueError(f"tokens from {start} on are padding")
+            yield part
+            start, n = start + len(part), n - len(part)
+
+    def close(self) -> None:
+        self._views = ()
+        self._at = -1
+        self._source.close()
 
+    def __enter__(self) -> SequenceFile:
+        return self
 
-def _write(root: str, tokenizer: str, end_id: int, seq_len: int):
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def _encode(tokenizer: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
+        enc = encoder(tokenizer)
+        for keys, texts in each_text(batches, ("doc_id", "text")):
+            raw = [np.append(ids, end_id).astype(enc.dtype).tobytes() for ids in enc.encode_many(texts)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw, pa.binary())], names=["doc_id", "crc", "ids"])
+
+    return run
+
+
+INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
+
+
+class _Output:
+    """A file of sequences and its index, under names of their own until they are whole."""
+
+    def __init__(self, store: pafs.FileSystem, base: str, name: str, dtype: np.dtype, seq_len: int):
+        self.store, self.name, self.at, self.attempt = store, name, f"{base}/{name}", uuid.uuid4().hex[:8]
+        self.sinks = [store.open_output_stream(f"{self.at}{end}.{self.attempt}") for end in (".arrow", ".docs.arrow")]
+        self.sequences = SequenceWriter(self.sinks[0], dtype, seq_len)
+        self.index = pa.ipc.new_file(self.sinks[1], INDEX)
+        self.rows: list[tuple[int | None, int, int]] = []
+        self.n_docs = 0
+
+    def add(self, key: int | None, ids: np.ndarray) -> None:
+        self.rows.append((key, self.sequences.total, len(ids)))
+        self.sequences.add(ids)
+        if len(self.rows) == INDEX_ROWS:
+            self._flush()
+
+    def _flush(self) -> None:
+        if self.rows:
+            self.index.write_batch(pa.record_batch([pa.array(x, pa.int64()) for x in zip(*self.rows, strict=True)], schema=INDEX))
+            self.n_docs += len(self.rows)
+            self.rows = []
+
+    def close(self) -> tuple[str, int, int]:
+        self._flush()
+        self.sequences.close()
+        self.index.close()
+        for sink, end in zip(self.sinks, (".arrow", ".docs.arrow"), strict=True):
+            sink.close()
+            self.store.move(f"{self.at}{end}.{self.attempt}", f"{self.at}{end}")
+        return self.name, self.n_docs, self.sequences.total
+
+
+def _write(root: str, dtype: str, seq_len: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
         store, base = _open(root)
         store.create_dir(base, recursive=True)
-        name, attempt = f"{base}/tokens-{part:06d}", uuid.uuid4().hex[:8]
-        keys_, starts, lengths, writer, sink = [], [], [], None, None
-        for keys, texts in each_text(batches, ("doc_id", "text")):
-            for key, found in zip(keys, enc.encode_many(texts), strict=True):
-                if writer is None:
-                    sink = store.open_output_stream(f"{name}.arrow.{attempt}")
-                    writer = SequenceWriter(sink, enc.dtype, seq_len)
-                ids = np.append(found, end_id).astype(enc.dtype)
-                keys_.append(key)
-                starts.append(writer.total)
-                lengths.append(len(ids))
-                writer.add(ids)
-        if writer is None:
-            return
-        writer.close()
-        sink.close()
-        table = pa.table({"doc_id": pa.array(keys_, pa.int64()), "start": pa.array(starts, pa.int64()), "n_tokens": pa.array(lengths, pa.int64())})
-        with store.open_output_stream(f"{name}.docs.arrow.{attempt}") as s, pa.ipc.new_file(s, table.schema) as w:
-            w.write_table(table, max_chunksize=10_000)
-        for end in (".docs.arrow", ".arrow"):
-            store.move(f"{name}{end}.{attempt}", f"{name}{end}")
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([f"tokens-{part:06d}"]), pa.array([len(keys_)], pa.int64()), pa.array([writer.total], pa.int64())], names=["file", "path", "n_docs", "n_tokens"])
+        out, made, kind = None, [], np.dtype(dtype)
+        for b in slices(batches):
+            for key, raw in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist(), strict=True):
+                if out is None:
+                    out = _Output(store, base, f"tokens-{part:06d}-{len(made):04d}", kind, seq_len)
+                out.add(key, np.frombuffer(raw, kind))
+                if out.sequences.total >= FILE_TOKENS:
+                    made.append(out.close())
+                    out = None
+        if out is not None:
+            made.append(out.close())
+        if made:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*made, strict=True)], names=["path", "n_docs", "n_tokens"])
 
     return run
 
 
 def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int = 2, seq_len: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Writes the files and returns their manifest: file, path (below root), n_docs, n_tokens. One job, when the result is used."""
+    """Writes the files below root and returns their manifest, a written table: path, n_docs, n_tokens."""
+    scratch = Scratch(docs.sparkSession, "token-ids")
     body = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    return body.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(_write(root, tokenizer, end_id, seq_len), MANIFEST)
-
-
-def _crcs(docs: pa.Table, sequences: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[int]:
-    """The checksum of each document's ids, reading a batch of sequences at a time."""
-    flat, at = np.zeros(0, np.uint16), 0
-    for n in docs.column("n_tokens").to_pylist():
-        crc = 0
-        while n:
-            if at == len(flat):
-                ids, mask = next(sequences)
-                flat, at = ids.reshape(-1)[: int(mask.sum())], 0
-            part = flat[at : at + n]
-            crc, at, n = zlib.crc32(part.astype("<u4"), crc), at + len(part), n - len(part)
-        yield crc
+    # Written, as the sampling of ranges and the shuffle both read it, and encoding is what costs.
+    ids = scratch.table(body.mapInArrow(_encode(tokenizer, end_id), "doc_id long, crc long, ids binary"), "ids")
+    order = ["doc_id", "crc"]
+    manifest = ids.repartitionByRange(*order).sortWithinPartitions(*order, "ids").select("doc_id", "ids").mapInArrow(_write(root, id_type(tokenizer).str, seq_len), MANIFEST)
+    manifest = scratch.table(manifest, "manifest")
+    scratch.drop("ids")
+    return manifest
 
 
 def _read(root: str):
@@ -137,21 +214,24 @@ def _read(root: str):
         store, base = _open(root)
         for paths, offsets in each_text(batches, ("path", "offset")):
             for path, offset in zip(paths, offsets, strict=True):
-                with store.open_input_file(f"{base}/{path}.docs.arrow") as f, pa.ipc.open_file(f) as r:
-                    docs = r.read_all()
-                with store.open_input_file(f"{base}/{path}.arrow") as f:
-                    crcs = list(_crcs(docs, read_sequences(f)))
-                start = docs.column("start").to_numpy() + offset
-                for at in range(0, docs.num_rows, 10_000):
-                    cut = docs.slice(at, 10_000)
-                    yield pa.RecordBatch.from_arrays([cut.column("doc_id").combine_chunks(), pa.array(start[at : at + 10_000], pa.int64()), cut.column("n_tokens").combine_chunks(), pa.array(crcs[at : at + 10_000], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                with store.open_input_file(f"{base}/{path}.docs.arrow") as f, pa.ipc.open_file(f) as index, SequenceFile(f"{base}/{path}.arrow", store) as file:
+                    for k in range(index.num_record_batches):
+                        b = index.get_batch(k)
+                        starts = b.column("start").to_numpy()
+                        crcs = []
+                        for start, n in zip(starts.tolist(), b.column("n_tokens").to_pylist(), strict=True):
+                            crc = 0
+                            for ids in file.tokens(start, n):
+                                crc = zlib.crc32(ids.astype("<u4"), crc)
+                            crcs.append(crc)
+                        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(starts + offset), b.column("n_tokens"), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     return run
 
 
 def read_token_files(manifest: DataFrame, root: str) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens and ids_crc32 of each document, from the files."""
-    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    earlier = Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     placed = manifest.select("path", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).alias("offset"))
     spread = placed.repartition(max(1, manifest.count()))
     return spread.mapInArrow(_read(root), "doc_id long, start long, n_tokens long, ids_crc32 long")
@@ -160,5 +240,5 @@ def read_token_files(manifest: DataFrame, root: str) -> DataFrame:
 def token_files(docs: DataFrame, tokenizer: str, end_id: int = 2, seq_len: int = 2048) -> DataFrame:
     """Write docs to files in the shared folder and read them back."""
     scratch = Scratch(docs.sparkSession, "token-files")
-    manifest = scratch.table(write_token_files(docs, scratch.path("files"), tokenizer, end_id, seq_len), "manifest")
+    manifest = write_token_files(docs, scratch.path("files"), tokenizer, end_id, seq_len)
     return read_token_files(manifest, scratch.path("files"))
