@@ -5,8 +5,12 @@ plain, as PackBits, LZW or deflate, and undoes horizontal (2) and floating-point
 pages of 8-bit grey samples in any of these layouts.
 
 Defined results: null or empty media give no pages from `tiff_pages`; bytes that are no TIFF, or whose directories or data
-break off, give one row for the page at fault, with `error` set and no samples; other columns of the input are not
-carried; repeated rows are decoded each.
+break off or make no sense, give one row for the page at fault, with `error` set and no samples, whatever the bytes. A page's size is held against
+the bytes of its strips before anything is allocated, and one of more than 1 GiB of samples is at fault, as a row can't hold
+more than 2. Other columns of the input are not carried; repeated rows are decoded each; an empty table gives no rows.
+
+The query stores a text's bytes in the layout that their digest picks of `LAYOUTS`, so that every codec, predictor and layout is on its way
+back.
 """
 
 from __future__ import annotations
@@ -31,10 +35,19 @@ PLAIN, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 FIELD = {1: "B", 2: "B", 3: "H", 4: "I", 6: "b", 7: "B", 8: "h", 9: "i", 11: "f", 12: "d", 13: "I", 16: "Q", 17: "q", 18: "Q"}
 
 
+#: Bytes that a byte of compressed data becomes at most: a PackBits pair 128, an LZW code of 9 bits a whole string of 4096, a deflate block 1032.
+MOST = {PLAIN: 1, PACKBITS: 64, LZW: 3641, DEFLATE: 1032, OLD_DEFLATE: 1032}
+MOST_BYTES = 1 << 30
+
+
 class TiffError(ValueError):
     pass
 
 
+#: What reading bytes that make no sense may raise.
+BROKEN = (TiffError, struct.error, KeyError, IndexError, TypeError, ValueError, OverflowError, MemoryError)
+
+
 def packbits_encode(data: bytes) -> bytes:
     out, i, n = bytearray(), 0, len(data)
     while i < n:
@@ -188,6 +201,8 @@ def _entries(buf: bytes, order: str, big: bool, at: int) -> tuple[dict[int, tupl
         value = spot + entry - inline
         if count * struct.calcsize(FIELD[kind]) > inline:
             (value,) = struct.unpack_from(order + off, buf, value)
+        if not count or value + count * struct.calcsize(FIELD[kind]) > len(buf):
+            continue  # as good as absent
         tags[tag] = struct.unpack_from(f"{order}{count}{FIELD[kind]}", buf, value)
     (after,) = struct.unpack_from(order + next_fmt, buf, at + n * entry)
     return tags, after
@@ -208,6 +223,8 @@ def _pixels(buf: bytes, tags: dict[int, tuple], order: str, p: Page) -> np.ndarr
     if p.bits not in (8, 16, 32, 64) or len(set(tags.get(BITS, (1,)))) > 1:
         raise TiffError(f"{tags.get(BITS)} bits a sample are not read")
     kind = {1: "u", 2: "i", 3: "f"}.get(tags.get(FORMAT, (1,))[0], "u")
+    if p.predictor not in (1, 2, 3) or (p.predictor == 3) > (kind == "f") or kind == "f" and (p.bits == 8 or p.predictor == 2):
+        raise TiffError(f"predictor {p.predictor} of {p.bits} bits of format {kind} is not read")
     dtype = np.dtype(f"{order}{kind}{p.bits // 8}" if p.bits > 8 else f"{kind}1")
     planes, depth = (p.samples, 1) if tags.get(PLANAR, (1,))[0] == 2 else (1, p.samples)
     if p.tiled:
@@ -220,6 +237,14 @@ def _pixels(buf: bytes, tags: dict[int, tuple], order: str, p: Page) -> np.ndarr
     across, down = -(-p.width // tw), -(-p.height // th)
     if len(starts) < across * down * planes or len(sizes) < across * down * planes:
         raise TiffError("strips or tiles are missing")
+    starts, sizes = starts[: across * down * planes], sizes[: across * down * planes]
+    if p.compression not in MOST:
+        raise TiffError(f"compression {p.compression} is not known")
+    if sum(sizes) > len(buf):
+        raise TiffError("strips or tiles lie over each other")
+    held = p.height * p.width * p.samples * dtype.itemsize
+    if held > MOST_BYTES or held > sum(sizes) * MOST[p.compression] or tw * th * depth * dtype.itemsize > MOST_BYTES:
+        raise TiffError(f"{p.width} x {p.height} samples are not in {sum(sizes)} bytes")
     out = np.zeros((p.height, p.width, p.samples), dtype.newbyteorder("="))
     for i in range(across * down * planes):
         plane, k = divmod(i, across * down)
@@ -253,18 +278,22 @@ def read_pages(buf: bytes | None) -> Iterator[Page]:
                 raise TiffError("the directories form a ring")
             seen.add(at)
             tags, at = _entries(buf, order, magic == 43, at)
-            one = lambda t, d=None: tags.get(t, (d,))[0]  # noqa: B023, E731
-            if one(WIDTH) is None or one(HEIGHT) is None:
-                raise TiffError("a page has no size")
-            p = Page(number, one(WIDTH), one(HEIGHT), one(SAMPLES, 1), one(BITS, 1), one(COMPRESSION, PLAIN), one(PREDICTOR, 1), TILES in tags)
-            try:
-                p.pixels = _pixels(buf, tags, order, p)
-            except (TiffError, KeyError, ValueError) as e:
-                p.error = str(e)
-            yield p
+            yield _page(buf, tags, order, number)
             number += 1
-    except (TiffError, struct.error) as e:
-        yield Page(number, 0, 0, 0, 0, 0, 0, False, None, str(e))
+    except BROKEN as e:
+        yield Page(number, 0, 0, 0, 0, 0, 0, False, None, str(e) or type(e).__name__)
+
+
+def _page(buf: bytes, tags: dict[int, tuple], order: str, number: int) -> Page:
+    head = [tags.get(t, (d,))[0] for t, d in ((WIDTH, 0), (HEIGHT, 0), (SAMPLES, 1), (BITS, 1), (COMPRESSION, PLAIN), (PREDICTOR, 1))]
+    if not all(isinstance(x, int) and 0 < x < 1 << 31 for x in head):
+        return Page(number, 0, 0, 0, 0, 0, 0, False, None, "a page has no size, or its numbers make no sense")
+    p = Page(number, *head, TILES in tags)
+    try:
+        p.pixels = _pixels(buf, tags, order, p)
+    except BROKEN as e:
+        p.error = str(e) or type(e).__name__
+    return p
 
 
 def write_tiff(pages: list[np.ndarray], compression: int = DEFLATE, predictor: int = 1, tile: int | None = None, rows_per_strip: int | None = None, order: str = "<") -> bytes:
@@ -324,7 +353,15 @@ def tiff_pages(media: DataFrame, key: str = "doc_id", column: str = "media") ->
     return media.select(media[key].cast("long").alias("doc_id"), media[column].alias("media")).mapInArrow(_digest_pages, PAGE)
 
 
-UNIT, WIDE, TALL = 576, 576, 64
+UNIT, WIDE, TALL, STRIP, TILE = 576, 576, 64, 16, 16
+#: Compression, predictor, and whether pages of TILE rows and more are cut into tiles.
+LAYOUTS = [(kind, predictor, tiled) for kind in (PLAIN, PACKBITS, LZW, DEFLATE) for predictor in (1, 2) for tiled in (False, True)]
+
+
+def layout_of(payload: bytes, height: int) -> dict:
+    """How the pages of a payload are stored; equal payloads are stored alike."""
+    kind, predictor, tiled = LAYOUTS[hashlib.sha256(payload).digest()[0] % len(LAYOUTS)]
+    return {"compression": kind, "predictor": predictor} | ({"tile": TILE} if tiled and height >= TILE else {"rows_per_strip": STRIP})
 
 
 def _encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,8 +372,9 @@ def _encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for text in texts:
             raw = (text or "").encode()
             lengths.append(len(raw))
-            payload = np.frombuffer(raw + b"\xff" * (-len(raw) % UNIT or (0 if raw else UNIT)), np.uint8).reshape(-1, WIDE)
-            media.append(write_tiff([payload[y : y + TALL] for y in range(0, len(payload), TALL)], DEFLATE, 1, rows_per_strip=16))
+            payload = raw + b"\xff" * (-len(raw) % UNIT or (0 if raw else UNIT))
+            rows = np.frombuffer(payload, np.uint8).reshape(-1, WIDE)
+            media.append(write_tiff([rows[y : y + TALL] for y in range(0, len(rows), TALL)], **layout_of(payload, len(rows))))
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(lengths, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
 
@@ -366,5 +404,5 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def media_digests(docs: DataFrame) -> DataFrame:
     """Stores each text as TIFF, reads the stored bytes back and digests what was decoded."""
     scratch = Scratch(docs.sparkSession, "tiff")
-    stored = scratch.table(texts_to_tiff(docs), "media", compression="uncompressed")  # the strips are deflated already
+    stored = scratch.table(texts_to_tiff(docs), "media", compression="zstd")  # some layouts are plain
     return stored.mapInArrow(_features, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
