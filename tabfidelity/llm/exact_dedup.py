@@ -62,10 +62,11 @@ def latest_groups(spark: SparkSession, groups_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(groups_dir).groupBy("digest").agg(F.max_by(F.struct("keeper", "group_size"), "batch").alias("g")).select("digest", "g.keeper", "g.group_size")
 
 
-def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest_bits: int = 256, files_per_batch: int | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest_bits: int = 256, batches: int = 3) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 for each row of docs, and its locator.
 
-    files_per_batch cuts the arrivals into micro-batches. digest_bits under 256 makes digests collide, for tests.
+    The arrivals come in so many micro-batches, each judged against the state that those before it left; dedup_stream, which this
+    calls, goes on from a state of earlier calls too. digest_bits under 256 makes digests collide, for tests.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact-dedup")
@@ -76,9 +77,8 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", digest
     # The content locator: partition and row of the arrival, fixed from here on, as the arrivals are written.
     arrivals = scratch.table(docs.select(docs[key].cast("long").alias("doc_id"), spot, F.unhex(F.substring(sha, 1, max(2, digest_bits // 4))).alias("digest"), sha.alias("text_sha256")), "arrivals")
 
-    stream = spark.readStream.schema(arrivals.schema)
-    if files_per_batch:
-        stream = stream.option("maxFilesPerTrigger", files_per_batch)
+    files = sum(1 for f in scratch.files("arrivals") if f.endswith(".parquet"))
+    stream = spark.readStream.schema(arrivals.schema).option("maxFilesPerTrigger", max(1, -(-files // batches)))
     dedup_stream(stream.parquet(scratch.path("arrivals")).select("digest", "doc_id", "locator"), scratch.path("state"), scratch.path("groups"))
     groups = scratch.table(latest_groups(spark, scratch.path("groups")), "latest") if scratch._fs.exists(spark._jvm.org.apache.hadoop.fs.Path(scratch.path("groups"))) else arrivals.select("digest", F.struct("doc_id", "locator").alias("keeper"), F.lit(0).cast("long").alias("group_size"))
     scratch.drop("state", "groups")
