@@ -11,6 +11,9 @@ k is not set by hand. A bounded sample of labelled documents (`max_labelled` by
 labels; the only bounded thing here) gives the log weight that best separates good from bad, where a lost good document
 counts several times as much as a kept bad one, and k is the number of all documents at or above it. Without any bad labels nothing is rejected.
 
+The noise has scale 1, as the method has it, and log weights are sums over whole documents, so it moves only documents near the cut, short ones for the
+most part.
+
 Both models' counts are `buckets` numbers a task and the only thing that is gathered; the k-th greatest key comes from
 counts in 4096 equal steps of the key's bits, refined step by step, never from a sort in one place.
 
@@ -61,9 +64,10 @@ def _count(buckets: int):
         for texts, good in each_text(batches, ("text", "good")):
             for text, g in zip(texts, good, strict=True):
                 found = ngram_buckets(text, buckets, hashes)
-                np.add.at(raw, found, 1)
+                counts = np.bincount(found, minlength=buckets)
+                raw += counts
                 if g:
-                    np.add.at(target, found, 1)
+                    target += counts
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets, dtype=np.int32)), pa.array(raw), pa.array(target)], names=["bucket", "raw", "target"])
 
     return run
@@ -132,7 +136,7 @@ def kth_greatest(keys: DataFrame, column: str, k: int) -> int:
     left = k
     while low < high:
         width = (high - low) // 4096 + 1
-        counts = keys.where(F.col(column).between(low, high)).groupBy(((F.col(column) - F.lit(low)) / F.lit(width)).cast("long").alias("b") if width > 1 else (F.col(column) - F.lit(low)).alias("b")).count().collect()
+        counts = keys.where(F.col(column).between(low, high)).groupBy(F.expr(f"({column} - {low}L) div {width}L").alias("b")).count().collect()
         for b, n in sorted(((r["b"], r["count"]) for r in counts), reverse=True):
             if left <= n:
                 low, high = low + b * width, min(high, low + (b + 1) * width - 1)

@@ -2,11 +2,12 @@
 
 A rule is `host/path`. Its canonical key is the host with its labels reversed, a slash and the path, so everything it
 fits at the level of its own host is one interval of keys: those that the key is a prefix of. A url stands in the sweep
-once for each of its host's suffixes (its own host and the domains above), with the same kind of key; a host has few
-labels, whatever the data. Rules and urls are range-partitioned and sorted together, in one order, with the row's number as the
+once for each suffix of its host that has as many labels as the host of some rule, with the same kind of key; other suffixes fit no rule, so a
+broken url with a thousand dots costs no more than another. Rules and urls are range-partitioned and sorted together, in one order, with the row's number as the
 last part, so that a host with a third of all urls is cut into as many ranges as its size asks for.
 
-Prefix intervals nest. Each rule carries the stack of rules that enclose it, so the stack at a key is that of the rule
+Prefix intervals nest. A sweep that pushes and pops has no form as a DataFrame operation, so what the stack holds once a rule opens is
+found before, by a join of the rules with the prefixes of their own keys. Each rule carries that stack, of the rules that enclose it, so the stack at a key is that of the rule
 opened last, less those that have closed: the entries that are no longer prefixes of the key. A running `last` inside
 each range, and one carried-in stack per range (a table with one row per range), give every url its stack; its top is
 the longest rule at that level. The longest rule over the levels of a url wins.
@@ -67,8 +68,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame | Sequence[tuple[str, str]],
     stacks = _rule_stacks(rules)
     parsed = pages.select(F.monotonically_increasing_id().alias("row"), pages[key].alias("page_id"), url_host(pages[url]).alias("host"), url_path(pages[url]).alias("path"))
     labels = _reversed_labels(F.col("host"))
-    levels = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat(F.concat_ws(".", F.slice(labels, F.lit(1), n)), F.lit("/"), F.col("path")))
-    asked = scratch.table(parsed.select("row", "page_id", "host", "path", F.explode(levels).alias("key")), "asked")
+    # How many labels the hosts of rules have: numbers up to 127, as names have no more; a rule with more is compared as well.
+    depths = [r[0] for r in rules.where("rule IS NOT NULL AND verdict IS NOT NULL").select(F.size(F.split(F.split("rule", "/")[0], r"\.")).alias("n")).distinct().collect()]
+    levels = F.transform(F.filter(F.array(*map(F.lit, sorted(depths) or [1])), lambda n: n <= F.size(labels)), lambda n: F.concat(F.concat_ws(".", F.slice(labels, F.lit(1), n)), F.lit("/"), F.col("path")))
+    asked = scratch.table(parsed.select("row", "page_id", "host", "path", F.explode_outer(levels).alias("key")), "asked")  # a url without such a suffix has a null key
     events = asked.select("key", F.lit(1).alias("kind"), "row", "page_id", "host", "path", F.lit(None).cast(STACK).alias("stack")).unionByName(
         stacks.select("key", F.lit(0).alias("kind"), F.lit(-1).cast("long").alias("row"), F.lit(None).cast(asked.schema["page_id"].dataType).alias("page_id"), F.lit("").alias("host"), F.lit("").alias("path"), "stack")
     )
