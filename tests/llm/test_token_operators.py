@@ -1,5 +1,6 @@
 """Token, packing, media, url and sharding operators against brute force and round trips, and the pipeline."""
 
+import math
 import random
 import struct
 import zlib
@@ -14,7 +15,7 @@ from hypothesis import strategies as st
 from tabfidelity.llm import packing, queries, sentencepiece_nbest, sharding, tiff, token_files, tokens, url_filter
 from tabfidelity.llm.common import Scratch
 
-WORDS, PIECES = queries.vocabulary("word_bpe_49k.json"), queries.vocabulary("piece_bpe_32k.model")
+WORDS, PIECES = tokens.vocabulary("word_bpe_49k.json"), tokens.vocabulary("piece_bpe_32k.model")
 TEXTS = ["Hello, world.", "", None, "don't <|endoftext|> stop", "  tabs\tand\nlines ", "ÉCOLE naïve İstanbul Ǆ", "e\u0301 H\u0331 x", "a" * 300, "漢字 😀 ٣٤ x1y", "..., --- foo.) 's", "word " * 2000]
 
 
@@ -153,20 +154,55 @@ def test_token_files(spark, sf_dir):
     assert got == want
 
 
-def test_random_access_without_copies(spark, tmp_path):
-    ids = np.arange(1000, dtype=np.uint16)
-    with pa.OSFile(str(tmp_path / "x.arrow"), "wb") as sink:
-        w = token_files.SequenceWriter(sink, np.dtype("<u2"), 64)
-        for at in range(0, 1000, 7):
-            w.add(ids[at : at + 7])
+def test_random_access_without_copies(tmp_path):
+    """Sequence i and its mask are views of the mapped file: nothing is allocated, by Arrow or by numpy."""
+    path, n, width = str(tmp_path / "x.arrow"), 64 * 1000 - 24, 64
+    ids = (np.arange(n) % 60_000).astype(np.uint16)
+    with pa.OSFile(path, "wb") as sink:
+        w = token_files.SequenceWriter(sink, np.dtype("<u2"), width)
+        for at in range(0, n, 7001):
+            w.add(ids[at : at + 7001])
         w.close()
-    with pa.memory_map(str(tmp_path / "x.arrow")) as m:
+    with token_files.SequenceFile(path) as f:
+        assert len(f) == 1000
         before = pa.total_allocated_bytes()
-        blocks = [(a, b) for a, b in token_files.read_sequences(m)]
-        seqs = np.concatenate([a for a, _ in blocks])
-        assert seqs.shape == (16, 64) and seqs[3, 5] == 3 * 64 + 5 and not seqs[-1, 40:].any()
-        assert np.concatenate([b for _, b in blocks]).sum() == 1000
-        assert pa.total_allocated_bytes() - before < 4096  # ids are views of the file
+        for i in (999, 0, 255, 256, 700):
+            got, mask = f.sequence(i)
+            want = ids[i * width : (i + 1) * width]
+            assert np.array_equal(got[: len(want)], want) and mask.sum() == len(want) and mask.dtype == np.uint8
+            spot = f._file.get_batch(i // token_files.BATCH)
+            for view, c in ((got, "ids"), (mask, "mask")):
+                buffer = spot.column(c).flatten().buffers()[1]
+                assert buffer.address <= view.__array_interface__["data"][0] < buffer.address + buffer.size
+        assert pa.total_allocated_bytes() - before < 4096
+        assert np.concatenate(list(f.tokens(100, 500))).tolist() == ids[100:600].tolist()
+        with pytest.raises(IndexError):
+            f.sequence(1000)
+        with pytest.raises(ValueError):
+            list(f.tokens(n - 5, 10))
+        del got, mask, view
+
+
+def test_files_are_rolled_and_rows_flushed(spark, sf_dir, monkeypatch):
+    """Files and index batches of a few tokens and rows give the same result."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(40).repartition(2)
+    docs = Scratch(spark, "few").table(docs, "docs")
+    want = sorted(map(tuple, token_files.token_files(docs, WORDS, 2, seq_len=64).collect()))
+    scratch = Scratch(spark, "rolled")
+    store, base = token_files._open(scratch.path("files"))
+    store.create_dir(base, recursive=True)
+    monkeypatch.setattr(token_files, "INDEX_ROWS", 3)
+    made, out, enc = [], None, tokens.Encoder(WORDS)
+    for r in sorted(docs.collect()):
+        out = out or token_files._Output(store, base, f"tokens-{len(made):06d}-0000", enc.dtype, 64)
+        (ids,) = enc.encode_many([r["text"]])
+        out.add(r["doc_id"], np.append(ids, 2).astype(enc.dtype))
+        if out.sequences.total > 2000:
+            made.append(out.close())
+            out = None
+    made += [out.close()] if out else []
+    manifest = spark.createDataFrame(made, token_files.MANIFEST)
+    assert len(made) > 2 and sorted(map(tuple, token_files.read_token_files(manifest, scratch.path("files")).collect())) == want
 
 
 def test_token_files_of_nothing(spark):
@@ -179,22 +215,45 @@ def test_token_files_of_nothing(spark):
 # -- SentencePiece
 
 
-def test_nbest_against_all_segmentations():
-    enc = sentencepiece_nbest.Encoder(PIECES, 4)
-    m = enc.model
+def lattice_nbest(m, text, n):
+    """The n best of the whole lattice by (score, ids): n prefixes kept at each place, in plain Python."""
+    ends, found = m.edges(text), [[(0.0, ())]]
+    for j in range(1, len(text) + 1):
+        found.append(sorted(((a + s, b + p) for i, p, s in ends[j] for a, b in found[i]), key=lambda x: (-x[0], x[1]))[:n])
+    return found[-1]
+
+
+VOCAB = ["the", "cat", "banana", "on", "a", "xyzzy", "==", "====", "===", "naïve", "漢字漢字", "....", "\n", "hello,", "a\nb", "éé", "123", "x漢a漢b", "\x01q", "😀"]
+
 
-    def every(text):
-        ends = m.edges(text)
-        go = lambda j: [(0.0, ())] if j == 0 else [(a + s, b + p) for i, p, s in ends[j] for a, b in go(i)]
-        return sorted(go(len(text)), key=sentencepiece_nbest._order)
+@pytest.mark.parametrize("n", [2, 4, 7])
+def test_nbest_against_the_whole_lattice(n):
+    """Ids and scores at every rank, in texts of up to 300 words with repeats, where equal scores are the rule."""
+    enc, rng = sentencepiece_nbest.Encoder(PIECES, n), random.Random(n)
+    texts = ["the cat " * 40, "banana " * 70, " ".join(["the", "cat", "sat"] * 25), "=" * 60 + " " + "=" * 60, "  a  ", "😀"]
+    for _ in range(120):
+        some = rng.sample(VOCAB, rng.randint(1, 6))
+        texts.append(" ".join(rng.choice(some) for _ in range(rng.choice([1, 2, 3, 5, 20, 60, 300]))))
+    for t in texts:
+        got = [(s, tuple(np.frombuffer(ids, "<u4").tolist())) for s, ids in enc.nbest(t)]
+        assert got == lattice_nbest(enc.model, enc.model.normalise(t), n)
 
-    rng = random.Random(2)
-    for _ in range(300):
-        t = "".join(rng.choice(["the", "on", "a", "b ", "é", "\n", ", ", "  ", "x", "漢", "😀", "."]) for _ in range(rng.randint(0, 5)))
-        got, want = enc.nbest(t), every(m.normalise(t))[:4]
-        assert np.allclose([s for s, _ in got], [s for s, _ in want])
-        if len(want) < 2 or want[0][0] > want[1][0] + 1e-6:
-            assert np.frombuffer(got[0][1], "<u4").tolist() == list(want[0][1])
+
+def test_first_and_second_scores():
+    m = sentencepiece_nbest.Encoder(PIECES, 2).model
+    for t in {f"▁{w}" for w in VOCAB} | {"▁" + "=" * k for k in range(1, 40)}:
+        want = lattice_nbest(m, t, 2)
+        assert m.best(t) == (want[0][1], want[0][0], want[0][0] - want[1][0] if len(want) > 1 else float("inf"))
+
+
+def test_long_segments_take_linear_time():
+    """A line of fifty thousand rulings, and one of as many characters that no piece joins."""
+    import time
+
+    enc = sentencepiece_nbest.Encoder(PIECES, 4)
+    began = time.process_time()
+    assert len(enc.nbest("=" * 50_000)) == 4 and len(enc.nbest("漢字" * 25_000)) >= 1
+    assert time.process_time() - began < 60
 
 
 @settings(max_examples=150, deadline=None)
@@ -274,6 +333,42 @@ def test_float_predictor_and_planes():
     assert page.error is None and page.pixels[:, :, 0].tobytes() == a and page.pixels[:, :, 1].tobytes() == b
 
 
+def test_media_of_nonsense_give_rows():
+    """No bytes end the reader: headers changed at random, counts of nothing, and sizes that no strip could hold."""
+    rng, r = random.Random(1), np.random.default_rng(2)
+    files = [tiff.write_tiff([r.integers(97, 110, (40, 64), dtype=np.uint8) for _ in range(2)], kind, predictor, order=order, **({"tile": 16} if tiled else {"rows_per_strip": 16})) for kind, predictor, tiled in tiff.LAYOUTS for order in "<>"]
+    for _ in range(1500):
+        b = bytearray(rng.choice(files))
+        for _ in range(rng.randint(1, 6)):
+            at = rng.choice([rng.randrange(16), len(b) - rng.randrange(1, 300), rng.randrange(len(b))])
+            b[at] = rng.choice([0, 255, rng.randrange(256), 1, 2, 3])
+        b = b[: rng.randrange(len(b))] if rng.random() < 0.2 else b
+        b[2:4] = b"+\0" if rng.random() < 0.1 else b[2:4]
+        assert all((p.pixels is None) == (p.error is not None) and p.width < 1 << 31 for p in tiff.read_pages(bytes(b)))
+    head = lambda *tags: struct.pack("<2sHIH", b"II", 42, 8, len(tags)) + b"".join(struct.pack("<HHII", t, 4, n, v) for t, n, v in tags) + b"\0" * 20
+    for tags in (((256, 0, 5), (257, 1, 5)), ((256, 1, 100_000), (257, 1, 2_000_000), (258, 1, 8), (273, 1, 8), (279, 1, 20)), ((256, 1, 1 << 31), (257, 1, 1), (258, 1, 8))):
+        (page,) = tiff.read_pages(head(*tags))
+        assert page.error and page.pixels is None
+
+
+def test_stored_layouts_and_features(spark):
+    """Every layout is used by the query's texts, and the features are those of the payload."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abc dé") for _ in range(rng.choice([0, 5, 700, 12_000]))) for _ in range(120)]
+    rows = tiff.texts_to_tiff(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    pages = [p for r in rows for p in tiff.read_pages(bytes(r["media"]))]
+    assert {(p.compression, p.predictor) for p in pages} == {(k, q) for k, q, _ in tiff.LAYOUTS} and {p.tiled for p in pages} == {True, False}
+    got = {r["doc_id"]: r["feature"] for r in tiff.media_digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        raw = t.encode()
+        payload = raw + b"\xff" * (-len(raw) % 576 or (0 if raw else 576))
+        n = Counter(payload)
+        entropy = -sum(c / len(payload) * math.log2(c / len(payload)) for c in n.values())
+        found = dict(x.split("=") for x in got[i].split(";"))
+        assert (int(found["pages"]), int(found["levels"])) == (-(-len(payload) // (576 * 64)), len(n))
+        assert abs(float(found["mean"]) - sum(payload) / len(payload)) < 1e-3 and abs(float(found["entropy"]) - entropy) < 1e-3
+
+
 def test_broken_media(spark):
     good = tiff.write_tiff([np.zeros((4, 4), np.uint8)])
     ring = bytearray(good)
@@ -331,6 +426,14 @@ def test_url_filter(spark):
     assert {r["verdict"] for r in url_filter.filter_urls(df, [], "block").collect()} == {"block"} and url_filter.filter_urls(df.where("false"), rules).count() == 0
 
 
+def test_broken_and_very_long_urls(spark):
+    """A host of ten thousand dots is as many rows in the sweep as rules have depths."""
+    rules = [("net/", "block"), ("example.net/en/", "allow"), ("a.b.c.d.net/", "block")]
+    urls = ["http://" + "." * 10_000 + "net/x", "http://" + "a." * 5_000 + "example.net/en/" + "y" * 50_000, "http://localhost/", "http://.", None]
+    got = sorted(tuple(r) for r in url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect())
+    assert got == [(i, *url_want(u, rules)) for i, u in enumerate(urls)]
+
+
 def test_many_nested_rules(spark):
     rules = [("h.org/" + "a" * k, "block" if k % 2 else "allow") for k in range(60)]
     df = spark.createDataFrame([(k, f"http://x.h.org/{'a' * k}b") for k in range(70)], "page_id long, url string")
