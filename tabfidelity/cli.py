@@ -33,12 +33,22 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def _auditor(config: dict, skip: bool):
+    """The service of the configuration's `audit` section (url, model, kind, ...); none without a url, or where it is to be skipped."""
+    from functools import partial
+
+    from .operators.synth import Endpoint, with_back_off
+
+    settings = config.get("audit") or {}
+    return None if skip or not settings.get("url") else partial(with_back_off, Endpoint(**settings))
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     config = io.read_config(*[c for c in (args.config, args.domain) if c])
     section = config.get("run", {})
     from . import pipeline
-    from .operators import report, synth
+    from .operators import prompts, report, synth
     from .session import local_session, ship
 
     spark = local_session()
@@ -68,9 +78,16 @@ def main(argv: list[str] | None = None) -> int:
         made = synth.synthesise(spark, seed, n, spec.target, list(dict.fromkeys((spec.target, *spec.categorical))), list(spec.numeric))
         made.write.mode("overwrite").csv(args.output, header=True)
     elif args.command == "validate":
-        out = pipeline.validate(io.read_csv(spark, args.synthetic), seed, spec, rules)
+        table = io.read_csv(spark, args.synthetic)
+        out = pipeline.validate(table, seed, spec, rules)
         rows = [r.asDict() for r in out["issues"].collect()]
         print(report.console_table(rows, ["severity", "check", "detail"]))
+        auditor = _auditor(config, args.skip_llm)
+        if auditor:
+            # Only statistics with noise leave the cluster: those given, or else the seed's with noise of the configured epsilon.
+            told = io.read_stats(args.stats) if args.stats else pipeline.noise_profile(spark, report.build_profile(seed, spec), config.get("dp", {}).get("epsilon", 1.0))
+            out["audit"] = prompts.audit(auditor, told, rows, report.synthetic_profile(table, spec))
+            print(json.dumps(out["audit"], indent=2, default=str))
         if args.output:
             io.write_json({**out, "issues": rows}, args.output)
     elif args.command == "tstr":
@@ -78,15 +95,20 @@ def main(argv: list[str] | None = None) -> int:
 
         keyed = TableSpec(**{**spec.__dict__, "row_key": ("row_id",)})
         a, b = (d.withColumn("row_id", F.xxhash64(*d.columns)) for d in (seed, io.read_csv(spark, args.synthetic)))
-        out = {k: pipeline.utility(a, b, keyed, k) for k in (("forest", "logistic", "gbt") if args.extended else ("forest",))}
-        print(json.dumps(out, indent=2, default=str))
+        out = pipeline.utility(a, b, keyed, "forest", 5, ("forest", "logistic", "gbt") if args.extended else ())
+        print(report.console_table(out["modes"], ["mode", "n", "accuracy", "macro_f1"]))
+        print(json.dumps({"fidelity": out["fidelity"], "cross_validation": out["cross_validation"]}, indent=2, default=str))
+        if args.extended:
+            print(report.console_table(out["extended"], ["model", "regime", "n", "accuracy", "macro_f1", "mean_auc"]))
         if args.output:
             io.write_json(out, args.output)
+            if args.extended:
+                io.write_csv(out["extended"], str(Path(args.output).with_suffix("")) + "_report.csv")
     else:
         where = str(Path(_first(args.output_dir, section.get("output_dir"), "processed")) / str(_first(args.condition, section.get("condition"), Path(path).stem)))
         eps = _first(args.epsilon, section.get("epsilon"), config.get("dp", {}).get("epsilon"), 1.0)
         n = _first(args.rows, section.get("rows"), config.get("generation", {}).get("total_rows"), 3000)
-        pipeline.run(spark, seed, spec, where, n, eps, rules, config.get("dp", {}).get("seed", 42), args.skip_tstr or bool(section.get("skip_tstr")))
+        pipeline.run(spark, seed, spec, where, n, eps, rules, config.get("dp", {}).get("seed", 42), args.skip_tstr or bool(section.get("skip_tstr")), auditor=_auditor(config, args.skip_llm), progress=lambda k, of: print(f"{k} of {of} stages", file=sys.stderr))
     return 0
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coerce import to_double, to_text
-from .profile import QUANTILES, cramers_v, long_values, pearson_pairs
+from .profile import QUANTILES, cramers_v, long_values, pearson_pairs, quantiles
 from .ranges import by_ranges
 
 FLOOR = 1e-4
@@ -50,11 +50,8 @@ def psi_categorical(seed: DataFrame, synth: DataFrame, columns: Sequence[str], d
 
 def _edges(seed: DataFrame, columns: Sequence[str], method: str, keep: str) -> DataFrame:
     """One row per column: edges and their probabilities, each distinct quantile once with the first (or last) probability seen."""
-    quants = [(F.percentile(to_double(F.col(c)), F.array(*map(F.lit, QUANTILES))) if method == "exact" else F.percentile_approx(to_double(F.col(c)), list(QUANTILES), 10_000)).alias(f"q{i}") for i, c in enumerate(columns)]
-    rows = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"q{i}").alias("q")) for i, c in enumerate(columns)))
-    flat = seed.agg(*quants).select(F.explode(rows).alias("r")).select("r.column", F.posexplode_outer("r.q").alias("i", "edge"))
-    pick = F.min("i") if keep == "first" else F.max("i")
-    per = flat.where("edge IS NOT NULL").groupBy("column", "edge").agg(F.element_at(F.array(*map(F.lit, QUANTILES)), pick + 1).alias("prob"))
+    found = quantiles(seed, columns, QUANTILES, method).where("value IS NOT NULL")
+    per = found.groupBy("column", F.col("value").alias("edge")).agg((F.min("prob") if keep == "first" else F.max("prob")).alias("prob"))
     return per.groupBy("column").agg(F.array_sort(F.collect_list(F.struct("edge", "prob"))).alias("edges"))  # nine edges at most
 
 
@@ -66,8 +63,9 @@ def psi_numeric(seed: DataFrame, synth: DataFrame, columns: Sequence[str], metho
     """
     edges = _edges(seed, columns, method, keep)
     pairs = F.array(*(F.struct(F.lit(c).alias("column"), to_double(F.col(c)).alias("x")) for c in columns))
-    values = synth.select(F.explode(pairs).alias("p")).select("p.*").where("x IS NOT NULL").groupBy("column", "x").agg(F.count("*").alias("n"))
-    binned = values.join(F.broadcast(edges), "column").withColumn("bin", F.size(F.filter("edges", lambda e: e["edge"] < F.col("x")))).groupBy("column", "bin").agg(F.sum("n").alias("n"))
+    values = synth.select(F.explode(pairs).alias("p")).select("p.*").where("x IS NOT NULL")
+    # Edges, a row per column, go to the rows, so what is shuffled has a row per column and bin.
+    binned = values.join(F.broadcast(edges), "column").withColumn("bin", F.size(F.filter("edges", lambda e: e["edge"] < F.col("x")))).groupBy("column", "bin").agg(F.count("*").alias("n"))
     probs = edges.select("column", F.size("edges").alias("k"), F.concat(F.array(F.lit(0.0)), F.col("edges.prob"), F.array(F.lit(1.0))).alias("cum"))
     expected = probs.select("column", "k", F.posexplode(F.transform(F.sequence(F.lit(1), F.col("k") + 1), lambda i: F.element_at(F.col("cum"), i + 1) - F.element_at(F.col("cum"), i))).alias("bin", "e"))
     totals = binned.groupBy("column").agg(F.sum("n").alias("t"))

@@ -17,6 +17,8 @@ from .ranges import by_ranges
 
 #: Most rows of a sample that distances are taken to.
 SAMPLE = 2000
+#: Most rows of a reference that is broadcast.
+REFERENCE = 100_000
 
 
 def sample(df: DataFrame, n: int, key: Sequence[str], seed: int | str = 42) -> DataFrame:
@@ -113,8 +115,10 @@ def _distance(n_cat: int, n_num: int) -> Column:
 def gower_nearest(query: DataFrame, ref: DataFrame, categorical: Sequence[str], numeric: Sequence[str], key: Sequence[str], exclude_self: bool = False, scale: DataFrame | None = None) -> DataFrame:
     """The key of each query row and `distance`, the least Gower distance to a reference row; key unique in query.
 
-    ref is a sample with a size bound: it is broadcast, and the least distance is kept row by row while it is scanned.
+    ref is a sample of up to REFERENCE rows, which is checked: it is broadcast, and the least distance is kept row by row while it is scanned.
     """
+    if ref.limit(REFERENCE + 1).count() > REFERENCE:
+        raise ValueError(f"distances are taken to {REFERENCE} rows at most: sample the reference")
     scale = scale if scale is not None else gower_scale([query, ref], numeric)
     q = _sides(query, scale, categorical, numeric, "q_", key)
     r = _sides(ref, scale, categorical, numeric, "r_", key if exclude_self else ())

@@ -19,6 +19,8 @@ from ..spec import NUMERIC
 from .ranges import by_ranges
 
 QUANTILES = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
+#: Most ranks that are broadcast.
+RANKS_SENT = 1_000_000
 
 
 def rows_of(names: Sequence[str], **fields: Sequence[Column]) -> Column:
@@ -85,26 +87,51 @@ def missingness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def numeric_summary(df: DataFrame, columns: Sequence[str], quantile: str = "exact") -> DataFrame:
     """column, min, max, mean, median, std, variance (sample), skewness, kurtosis (population, excess).
 
-    quantile="approx" takes the median from a mergeable sketch, for columns whose distinct values don't fit one task.
+    quantile: the method of `quantiles` that the median is taken by.
     """
     aggs = []
     for i, c in enumerate(columns):
         x = to_double(F.col(c))
-        mid = F.percentile(x, F.lit(0.5)) if quantile == "exact" else F.percentile_approx(x, 0.5, 10_000)
-        aggs += [F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}"), F.avg(x).alias(f"c{i}"), mid.alias(f"d{i}"), F.stddev_samp(x).alias(f"e{i}"), F.var_samp(x).alias(f"f{i}"), F.skewness(x).alias(f"g{i}"), F.kurtosis(x).alias(f"h{i}")]
-    names = dict(zip(("min", "max", "mean", "median", "std", "variance", "skewness", "kurtosis"), "abcdefgh", strict=True))
-    return explode_rows(df.agg(*aggs), columns, **{k: [F.round(F.col(f"{v}{i}"), 6) for i in range(len(columns))] for k, v in names.items()})
+        aggs += [F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}"), F.avg(x).alias(f"c{i}"), F.stddev_samp(x).alias(f"e{i}"), F.var_samp(x).alias(f"f{i}"), F.skewness(x).alias(f"g{i}"), F.kurtosis(x).alias(f"h{i}")]
+    names = dict(zip(("min", "max", "mean", "std", "variance", "skewness", "kurtosis"), "abcefgh", strict=True))
+    rows = explode_rows(df.agg(*aggs), columns, **{k: [F.round(F.col(f"{v}{i}"), 6) for i in range(len(columns))] for k, v in names.items()})
+    mid = quantiles(df, columns, (0.5,), quantile).select("column", F.round("value", 6).alias("median"))
+    return rows.join(F.broadcast(mid), "column", "left").select("column", "min", "max", "mean", "median", "std", "variance", "skewness", "kurtosis")  # a row per column
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float] = QUANTILES, method: str = "exact") -> DataFrame:
-    """column, prob, value with linear interpolation; method="approx" merges sketches instead of value counts."""
-    made = [(F.percentile(to_double(F.col(c)), F.array(*map(F.lit, probs))) if method == "exact" else F.percentile_approx(to_double(F.col(c)), list(probs), 10_000)).alias(f"q{i}") for i, c in enumerate(columns)]
+    """column, prob, value with linear interpolation; a column without a number has no rows.
+
+    method="exact" finds the ranks that the probabilities ask for from counts per value, dealt out by ranges, so no task holds a column's
+    distinct values; "buffer" is as exact and holds them in one task's buffer, for columns that are known to have few; "approx" merges sketches.
+    """
+    if method == "exact":
+        return _ranked_quantiles(df, columns, probs)
+    made = [(F.percentile(to_double(F.col(c)), F.array(*map(F.lit, probs))) if method == "buffer" else F.percentile_approx(to_double(F.col(c)), list(probs), 10_000)).alias(f"q{i}") for i, c in enumerate(columns)]
     one = df.agg(*made)
     flat = explode_rows(one, columns, q=[F.col(f"q{i}") for i in range(len(columns))])
     at = F.array(*map(F.lit, probs))
     return flat.select("column", F.posexplode("q").alias("i", "value")).select("column", F.element_at(at, F.col("i") + 1).alias("prob"), "value")
 
 
+def _ranked_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    cells = F.array(*(F.struct(F.lit(c).alias("column"), to_double(F.col(c)).alias("x")) for c in columns))
+    counts = df.select(F.explode(cells).alias("c")).select("c.*").where("x IS NOT NULL").groupBy("column", "x").agg(F.count("*").alias("n"))
+    ranged = by_ranges(counts, "column", "x")
+    per = ranged.groupBy("column", "_range").agg(F.sum("n").alias("t"))  # columns times ranges
+    earlier, every = Window.partitionBy("column").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("column")
+    offsets = per.select("column", "_range", F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("before"), F.sum("t").over(every).alias("total"))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("column", "_range").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = ranged.withColumn("_in", inside).join(F.broadcast(offsets), ["column", "_range"]).select("column", "x", (F.col("before") + F.col("_in")).alias("lo"), (F.col("before") + F.col("_in") + F.col("n")).alias("hi"), "total")
+    # A value is kept for each probability whose rank, or the one above it, falls on it: two rows a probability at most.
+    holds = lambda rank: (rank >= F.col("lo")) & (rank < F.col("hi"))
+    rank = lambda p: (F.col("total") - 1) * p
+    asked = F.filter(F.array(*map(F.lit, probs)), lambda p: holds(F.floor(rank(p))) | holds(F.ceil(rank(p))))
+    hits = placed.withColumn("prob", F.explode(asked)).withColumn("at", rank(F.col("prob")))
+    ends = hits.groupBy("column", "prob").agg(F.max(F.when(holds(F.floor("at")), F.col("x"))).alias("a"), F.max(F.when(holds(F.ceil("at")), F.col("x"))).alias("b"), F.max(F.col("at") - F.floor("at")).alias("part"))
+    return ends.select("column", "prob", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("value"))  # between equal values, that value exactly
+
+
 def frequency_table(df: DataFrame, columns: Sequence[str], top: int | None = 50) -> DataFrame:
     """column, value, count, proportion of the non-null, rank; equal counts are ordered by value. top=None keeps all."""
     counts = long_values(df, columns).where("value IS NOT NULL").groupBy("column", "value").agg(F.count("*").alias("count"))
@@ -168,7 +195,8 @@ def pearson_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """df's complete rows over the columns, with `<column>__rank`: the average rank of equal values.
 
-    Ranks come from counts per value with running sums per range of values, so no column is sorted in one task.
+    Ranks come from counts per value with running sums per range of values, so no column is sorted in one task. A table of up to a million
+    ranks (some 24 MB) is broadcast, so rows are not shuffled; a larger one is joined by shuffles, whose hot values the planner splits.
     """
     base = df.select(*(to_double(F.col(c)).alias(c) for c in columns)).na.drop()
     out = base
@@ -177,7 +205,7 @@ def average_ranks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         inside = F.sum("_n").over(Window.partitionBy("_range").orderBy(c).rowsBetween(Window.unboundedPreceding, -1))
         offset = counts.groupBy("_range").agg(F.sum("_n").alias("_t")).withColumn("_before", F.coalesce(F.sum("_t").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
         ranks = counts.withColumn("_in", F.coalesce(inside, F.lit(0))).join(F.broadcast(offset), "_range").select(c, (F.col("_before") + F.col("_in") + (F.col("_n") + 1) / 2).alias(f"{c}__rank"))
-        out = out.join(ranks, c)
+        out = out.join(F.broadcast(ranks) if counts.count() <= RANKS_SENT else ranks, c)  # counts are checkpointed
     return out
 
 

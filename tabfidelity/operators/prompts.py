@@ -3,7 +3,7 @@ values with a row per column."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, Window
@@ -137,3 +137,17 @@ def audit_prompt(noised_stats: Mapping[str, Any], issues: Sequence[Mapping[str,
     import json
 
     return "\n".join(["Judge this synthetic table. Answer with JSON: verdict, score from 0 to 100, issues (list of text).", json.dumps({"statistics": noised_stats.get("columns", {}), "issues": list(issues)}, default=str)])
+
+
+def audit(complete: Callable[[str, str], str], noised_stats: Mapping[str, Any], issues: Sequence[Mapping[str, Any]], profile: Mapping[str, Any] | None = None) -> dict[str, Any]:
+    """The auditor's verdict as a document; an answer that is no JSON comes back as `error` with the answer. complete is any text source."""
+    import json
+    import re
+
+    told = audit_prompt(noised_stats, issues) + (f"\nSynthetic table: {json.dumps(profile, default=str)}" if profile else "")
+    answer = complete("You audit synthetic tables for quality and privacy.", told).strip()
+    bare = re.sub(r"^```\w*\s*|\s*```$", "", answer)
+    try:
+        return json.loads(bare)
+    except ValueError as e:
+        return {"error": f"the answer is no JSON: {e}", "answer": answer}

@@ -16,7 +16,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
-    sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tabfidelity-checkpoint-"))
+    shared = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tabfidelity-checkpoint-"))
 
 
 def by_ranges(df: DataFrame, *columns: str) -> DataFrame:

@@ -79,6 +79,49 @@ def build_profile(df: DataFrame, spec: TableSpec | None = None, quantile: str =
     return out
 
 
+def coverage_duration(df: DataFrame, start: str, end: str) -> DataFrame:
+    """n, min, max, mean, median, p25, p75 of the whole days from start to end, to one digit; rows without either date are left out."""
+    days = df.select(F.datediff(F.col(end).try_cast("date"), F.col(start).try_cast("date")).cast("double").alias("days"))
+    one = days.agg(F.count("days").alias("n"), *(F.round(f("days"), 1).alias(name) for f, name in ((F.min, "min"), (F.max, "max"), (F.avg, "mean"))))
+    found = P.quantiles(days, ["days"], (0.25, 0.5, 0.75))
+    middle = found.agg(*(F.round(F.max(F.when(F.abs(F.col("prob") - p) < 1e-9, F.col("value"))), 1).alias(name) for p, name in ((0.5, "median"), (0.25, "p25"), (0.75, "p75"))))
+    return one.crossJoin(middle)  # one row each
+
+
+def synthetic_profile(df: DataFrame, spec: TableSpec, duration: tuple[str, str] | None = None, top: int = 10) -> dict[str, Any]:
+    """What an auditor is told of a synthetic table: missing rates, the commonest shares, dates, coverage in days, associations, group sizes."""
+    from .privacy import k_anonymity
+
+    cats = [c for c in spec.categorical if c in df.columns]
+    gone = {r["column"]: r["rate"] for r in P.missingness(df, df.columns).collect()}
+    out: dict[str, Any] = {"n_rows": df.count(), "n_columns": len(df.columns), "missing_rates": {c: gone.get(c, 0.0) for c in df.columns}, "columns": {}}
+    if cats:
+        n = {r["column"]: r["n_unique"] for r in P.base_stats(df, cats).collect()}
+        out["columns"] = {c: {"type": "categorical", "n_unique": n[c], "top_proportions": {}} for c in cats}
+        for r in P.frequency_table(df, cats, top).collect():
+            out["columns"][r["column"]]["top_proportions"][r["value"]] = round(r["proportion"], 4)
+    nums = [c for c in spec.numeric if c in df.columns]
+    for r in P.numeric_summary(df, nums).collect() if nums else []:
+        out["columns"][r["column"]] = {"type": "numeric"} | {k: r[k] for k in ("min", "max", "mean", "median", "std")}
+    if duration and all(c in df.columns for c in duration):
+        out["coverage_duration_days"] = {k: v for k, v in coverage_duration(df, *duration).first().asDict().items() if k != "n"}
+    if len(cats) > 1:
+        out["cramers_v"] = {f"{r['col_a']}__{r['col_b']}": round(r["v"], 4) for r in P.cramers_v(df, [(a, b) for i, a in enumerate(cats) for b in cats[i + 1 :]]).collect()}
+    qi = [c for c in spec.quasi_ids if c in df.columns]
+    if len(qi) > 1:
+        out["k_anonymity"] = {"quasi_ids": qi} | k_anonymity(df, qi).first().asDict()
+    return out
+
+
+def ab_report(a: DataFrame, b: DataFrame, config: Mapping[str, Any], sizes: Mapping[str, int]) -> dict[str, Any]:
+    """One document of an A/B comparison: settings, row counts, the (metric, value) scores of either side, and who wins each."""
+    from .drift import ab_tally
+
+    listed = lambda df: {r["metric"]: r["value"] for r in df.collect()}  # noqa: E731  a row per metric
+    wins = {r["metric"]: r["winner"] for r in ab_tally(a.select("metric", "value"), b.select("metric", "value")).collect()}
+    return {"config": dict(config), "n_rows": dict(sizes), "scores": {"a": listed(a), "b": listed(b)}, "winners": wins}
+
+
 def console_table(rows: Sequence[Mapping[str, Any]], columns: Sequence[str], width: int = 40) -> str:
     """A boxed table with wrapped cells."""
     import textwrap

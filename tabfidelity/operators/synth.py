@@ -7,7 +7,13 @@ from one sorted task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import json
+import os
+import time
+import urllib.request
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -17,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.coerce import is_missing, to_double, to_text
 from ..functions.rng import normal, uniform
 from ..functions.text import parse_rows
-from .ranges import by_ranges
+from .ranges import by_ranges, ensure_checkpoint_dir
 
 MISSING = ""
 
@@ -119,29 +125,101 @@ def batch_checks(rows: DataFrame, plan: DataFrame, target: str, classes: Sequenc
 Completion = Callable[[str, str], str]
 
 
-def generate(strata: DataFrame, columns: Sequence[str], complete: Completion, system: str, message: Callable[[pd.DataFrame], str], batch: int = 50, max_retries: int = 3, min_yield: float = 0.8) -> DataFrame:
-    """row_id and `cells` of generated rows: one request per batch of strata, whose lines answer to row ids in order.
+@dataclass(frozen=True)
+class Endpoint:
+    """A text source behind a chat-completions service, as a Completion that can be sent to executors.
 
-    complete(system, user) is any text source. A request is made again while it yields too few lines that parse. Rows
-    still missing then have null cells, so a later pass can ask for just these; no stratum is lost or shifted.
+    The key is read from the environment where a request is made, so it travels in no plan. kind: `chat` for services that take the
+    system text as a message, `messages` for those that take it apart.
+    """
+
+    url: str
+    model: str
+    key_variable: str = "TABFIDELITY_API_KEY"
+    kind: str = "chat"
+    temperature: float = 0.7
+    max_tokens: int = 4096
+    timeout: float = 120.0
+
+    def body(self, system: str, user: str) -> dict[str, Any]:
+        common = {"model": self.model, "temperature": self.temperature, "max_tokens": self.max_tokens}
+        if self.kind == "messages":
+            return common | {"system": system, "messages": [{"role": "user", "content": user}]}
+        return common | {"messages": [{"role": "system", "content": system}, {"role": "user", "content": user}]}
+
+    def text_of(self, answer: Mapping[str, Any]) -> str:
+        if self.kind == "messages":
+            return "".join(part.get("text", "") for part in answer["content"])
+        return answer["choices"][0]["message"]["content"] or ""
+
+    def __call__(self, system: str, user: str) -> str:
+        key = os.environ.get(self.key_variable, "")
+        headers = {"content-type": "application/json"} | ({"x-api-key": key} if self.kind == "messages" else {"authorization": f"Bearer {key}"})
+        request = urllib.request.Request(self.url, json.dumps(self.body(system, user)).encode(), headers)
+        with urllib.request.urlopen(request, timeout=self.timeout) as answer:
+            return self.text_of(json.load(answer))
+
+
+def with_back_off(complete: Completion, system: str, user: str, tries: int = 3, first_wait: float = 2.0, sleep: Callable[[float], None] = time.sleep) -> str:
+    """complete(system, user), called again after an error with waits that double; the last error is raised."""
+    for i in range(tries):
+        try:
+            return complete(system, user)
+        except Exception:
+            if i + 1 == tries:
+                raise
+            sleep(first_wait * 2**i)
+    raise ValueError("tries must be at least 1")
+
+
+def request_rows(strata: DataFrame, complete: Completion, system: str, message: Callable[[pd.DataFrame], str], batch: int = 50, max_retries: int = 3, min_yield: float = 0.8, first_wait: float = 2.0) -> DataFrame:
+    """row_id, batch_id, line, tries, error: one request per batch of strata, whose lines answer to row ids in order.
+
+    A request is made again while it yields too few lines, and after an error with waits that double. Rows still missing then have a null
+    line; error is the batch's last one, or that its yield was short, and null where all is well. No stratum is lost or shifted, and no error
+    of one batch ends the others.
     """
-    names = list(columns)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for at in range(0, len(frame), batch):
                 part = frame.iloc[at : at + batch]
-                best: list[str] = []
-                for _ in range(max_retries):
-                    lines = [x for x in complete(system, message(part)).splitlines() if x.strip()]
-                    best = max(best, lines, key=len)
-                    if len(best) >= min_yield * len(part):
-                        break
+                best, error, tries = [], None, 0
+                while tries < max_retries and len(best) < min_yield * len(part):
+                    if error and tries:
+                        time.sleep(first_wait * 2 ** (tries - 1))
+                    tries += 1
+                    try:
+                        best = max(best, [x for x in complete(system, message(part)).splitlines() if x.strip()], key=len)
+                        error = None
+                    except Exception as e:  # noqa: BLE001  whatever a text source raises is reported with the batch
+                        error = f"{type(e).__name__}: {e}"
                 best = best[: len(part)]
-                yield pd.DataFrame({"row_id": part["row_id"].to_numpy(), "line": best + [None] * (len(part) - len(best))})
+                if error is None and len(best) < min_yield * len(part):
+                    error = f"{len(best)} of {len(part)} rows"
+                yield pd.DataFrame({"row_id": part["row_id"].to_numpy(), "batch_id": int(part["row_id"].iloc[0]) // batch, "line": best + [None] * (len(part) - len(best)), "tries": tries, "error": error})
+
+    return strata.repartitionByRange("row_id").sortWithinPartitions("row_id").mapInPandas(run, "row_id long, batch_id long, line string, tries int, error string")
+
 
-    asked = strata.repartitionByRange("row_id").sortWithinPartitions("row_id").mapInPandas(run, "row_id long, line string")
-    parsed = parse_rows(asked.where("line IS NOT NULL"), names)
+def failures(asked: DataFrame) -> DataFrame:
+    """batch_id, n, n_missing, tries, error of the batches that have an error."""
+    return asked.where("error IS NOT NULL").groupBy("batch_id").agg(F.count("*").alias("n"), F.count_if(F.col("line").isNull()).alias("n_missing"), F.max("tries").alias("tries"), F.max("error").alias("error"))
+
+
+def generate(strata: DataFrame, columns: Sequence[str], complete: Completion, system: str, message: Callable[[pd.DataFrame], str], batch: int = 50, max_retries: int = 3, min_yield: float = 0.8, progress: Callable[[int, int, int], None] | None = None) -> DataFrame:
+    """row_id and `cells` of generated rows; rows that no batch yielded have null cells, so a later pass can ask for just these.
+
+    Answers are checkpointed, as a service gives others when asked again. progress(rows asked for, rows there, batches with an error) is
+    called once they are all there.
+    """
+    names = list(columns)
+    ensure_checkpoint_dir(strata.sparkSession)
+    asked = request_rows(strata, complete, system, message, batch, max_retries, min_yield).checkpoint()
+    if progress:
+        n = asked.agg(F.count("*").alias("n"), F.count("line").alias("there"), F.countDistinct(F.when(F.col("error").isNotNull(), F.col("batch_id"))).alias("failed")).first()
+        progress(n["n"], n["there"], n["failed"])
+    parsed = parse_rows(asked.where("line IS NOT NULL").select("row_id", "line"), names)
     return asked.select("row_id").join(parsed.select("row_id", "cells"), "row_id", "left")
 
 

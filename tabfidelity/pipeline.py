@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from pathlib import Path
 from typing import Any
@@ -133,19 +133,30 @@ def validate(synthetic: DataFrame, seed: DataFrame, spec: TableSpec, rule_set: R
     return {"issues": relation, "summary": report.severity_counts(relation), "plausibility": score, "psi": [r.asDict() for r in psi.collect()], "metrics": metrics}
 
 
-def utility(seed: DataFrame, synthetic: DataFrame, spec: TableSpec, kind: str = "forest") -> dict[str, Any]:
-    """Macro F1 of the three modes and their ratio. Codes are those of the seed on both sides."""
+def utility(seed: DataFrame, synthetic: DataFrame, spec: TableSpec, kind: str = "forest", cross: int = 0, extended: Sequence[str] = ()) -> dict[str, Any]:
+    """Macro F1 of the three modes and their ratio. Codes are those of the seed on both sides, of all its levels.
+
+    cross: folds of cross-validation on either table. extended: learners to report by regime.
+    """
     labels = list(spec.orders.get(spec.target, ())) or sorted(str(r[0]) for r in seed.select(spec.target).na.drop().distinct().collect())
-    cats = {c: list(spec.orders.get(c, ())) or sorted(str(r[0]) for r in seed.select(c).na.drop().distinct().limit(1000).collect()) for c in spec.categorical if c != spec.target}
+    cats = {c: list(spec.orders.get(c, ())) or tstr.level_codes(seed, c) for c in spec.categorical if c != spec.target}
     enc = lambda df: tstr.encode(df, spec.target, labels, cats, spec.numeric, spec.row_key)
-    modes = tstr.evaluate_modes(enc(seed), enc(synthetic), len(labels), spec.row_key, kind)
+    real, made = enc(seed), enc(synthetic)
+    modes = tstr.evaluate_modes(real, made, len(labels), spec.row_key, kind)
     rows = [r.asDict() for r in modes.collect()]
     table = seed.sparkSession.createDataFrame([(r["mode"], r["n"], r["accuracy"], r["macro_f1"]) for r in rows], modes.schema)
-    return {"modes": rows, "fidelity": tstr.fidelity_ratio(table).first()["fidelity"]}
+    out = {"modes": rows, "fidelity": tstr.fidelity_ratio(table).first()["fidelity"]}
+    if cross:
+        out["cross_validation"] = {n: tstr.cross_summary(tstr.cross_validated(d, len(labels), spec.row_key, kind, cross)).first().asDict() for n, d in (("seed", real), ("synthetic", made))}
+    if extended:
+        out["extended"] = [r.asDict() for r in tstr.extended_report(real, made, len(labels), spec.row_key, extended).collect()]
+    return out
+
 
+def run(spark: SparkSession, seed: DataFrame, spec: TableSpec, output: str, rows: int = 3000, epsilon: float = 1.0, rule_set: RuleSet = RuleSet(), seed_no: int = 42, skip_tstr: bool = False, source: str = "seed", auditor: synth.Completion | None = None, progress: Callable[[int, int], None] | None = None) -> dict[str, Any]:
+    """All stages; every result is written under output, each file by the stage that made it, beside a copy of the seed.
 
-def run(spark: SparkSession, seed: DataFrame, spec: TableSpec, output: str, rows: int = 3000, epsilon: float = 1.0, rule_set: RuleSet = RuleSet(), seed_no: int = 42, skip_tstr: bool = False, source: str = "seed") -> dict[str, Any]:
-    """All stages; every result is written under output, each file by the stage that made it.
+    auditor, if given, is asked for a verdict on noised statistics and issues. progress(stages done, of) is called after each stage.
 
     source="seed" draws strata and matches quantiles on the seed itself, so the rows are not covered by epsilon, whatever the
     published statistics are.
@@ -153,8 +164,12 @@ def run(spark: SparkSession, seed: DataFrame, spec: TableSpec, output: str, rows
     if source != "seed":
         raise ValueError("only the seed can be drawn from; noised statistics are for publication")
     root = Path(output)
+    tell = progress or (lambda stage, of: None)
+    seed.write.mode("overwrite").parquet(str(root / "seed"))  # what the run was made from
+    tell(1, 5)
     stats = report.build_profile(seed, spec)
     io.write_json(stats, str(root / "stats.json"))
+    tell(2, 5)
     noised = noise_profile(spark, stats, epsilon, seed_no)
     io.write_json(noised, str(root / "stats_dp.json"))
     pearson = noised.get("correlations", {}).get("pearson", {})
@@ -162,14 +177,21 @@ def run(spark: SparkSession, seed: DataFrame, spec: TableSpec, output: str, rows
     made = synth.synthesise(spark, seed, rows, spec.target, list(dict.fromkeys((spec.target, *spec.categorical))), list(spec.numeric), corr, seed_no)
     made.write.mode("overwrite").parquet(str(root / "synthetic"))
     made = spark.read.parquet(str(root / "synthetic"))
-    checked = validate(made, seed, TableSpec(**{**spec.__dict__, "row_key": ()}), rule_set, expected_rows=rows)
+    tell(3, 5)
+    # Rows of the seed get an identifier from their place in the copy, so that every check of privacy runs.
+    both = TableSpec(**{**spec.__dict__, "row_key": ("row_id",)})
+    copy = spark.read.parquet(str(root / "seed")).drop("row_id").withColumn("row_id", F.monotonically_increasing_id())
+    checked = validate(made, copy, both, rule_set, expected_rows=rows)
+    if auditor:
+        checked["audit"] = prompts.audit(auditor, noised, [r.asDict() for r in checked["issues"].collect()], report.synthetic_profile(made, spec))
+    tell(4, 5)
     io.write_json({**checked, "issues": [r.asDict() for r in checked["issues"].collect()]}, str(root / "validation.json"))
     (root / "validation.html").write_text(report.html_scorecard("Plausibility", checked["plausibility"], {"Issues": [r.asDict() for r in checked["issues"].collect()], "PSI": checked["psi"]}), encoding="utf-8")
     out: dict[str, Any] = {"stats": noised, "validation": checked}
     if not skip_tstr:
-        keyed = TableSpec(**{**spec.__dict__, "row_key": ("row_id",)})
-        out["utility"] = utility(seed.withColumn("row_id", F.xxhash64(*seed.columns)), made, keyed)
+        out["utility"] = utility(copy, made, both)
         io.write_json(out["utility"], str(root / "utility.json"))
+    tell(5, 5)
     return out
 
 

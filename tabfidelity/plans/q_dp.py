@@ -29,8 +29,7 @@ def hash_noise(spark, d):
     return read(spark, d, "customer").select(k, F.round(rng.uniform(42, k), 9).alias("u"), F.round(rng.laplace(2.0, 42, k), 6).alias("noise"))
 
 
-_F = _FREQ.replace("f AS (SELECT *", "f AS (SELECT *")
-_NOISED = f"""{_F}, z AS (SELECT "column", value, greatest(0, n + {lsql(f'(2.0 / {EPS})::DOUBLE', '"column"', 'value')}) AS c FROM f),
+_NOISED = f"""{_FREQ}, z AS (SELECT "column", value, greatest(0, n + {lsql(f'(2.0 / {EPS})::DOUBLE', '"column"', 'value')}) AS c FROM f),
 p AS (SELECT "column", value, c, c / CASE WHEN sum(c) OVER (PARTITION BY "column") > 0 THEN sum(c) OVER (PARTITION BY "column") ELSE 1 END AS p FROM z)"""
 
 

@@ -31,22 +31,22 @@ def linkage(spark, d):
     return rounded(V.record_linkage(df.where("o_orderkey % 2 = 1"), df.where("o_orderkey % 2 = 0"), QI))
 
 
-_COLS = ("l_quantity", "l_discount", "tax_n", "l_returnflag")
+_COLS = ("l_quantity", "l_discount", "tax_n", "l_returnflag", "l_linestatus", "l_linenumber")
 _COLS_SQL = ", ".join(_COLS)
 _SAME = " AND ".join(f"y.{c} IS NOT DISTINCT FROM s.{c}" for c in _COLS)
 
 
-@query(f"""WITH {BASE_SQL}, s AS (SELECT DISTINCT {_COLS_SQL}, true AS there FROM seed WHERE l_linenumber = 1), m AS (SELECT there FROM synth y LEFT JOIN s ON {_SAME}),
+@query(f"""WITH {BASE_SQL}, s AS (SELECT DISTINCT {_COLS_SQL}, true AS there FROM seed), m AS (SELECT there FROM synth y LEFT JOIN s ON {_SAME}),
 o AS (SELECT count(*) AS n, count(there) AS n_leaked FROM m)
 SELECT n, n_leaked, round(n_leaked / n, 6) AS rate, CASE WHEN n_leaked / n > 0.1 THEN 'CRITICAL' WHEN n_leaked / n > 0.01 THEN 'HIGH' END AS severity FROM o""")
 def leakage_semi(spark, d):
-    return rounded(V.row_leakage(synth(spark, d), seed(spark, d).where("l_linenumber = 1"), _COLS))
+    return rounded(V.row_leakage(synth(spark, d), seed(spark, d), _COLS))
 
 
-@query(f"""WITH {BASE_SQL}, s AS (SELECT DISTINCT {_COLS_SQL}, true AS there FROM seed WHERE l_linenumber = 1), y AS (SELECT {_COLS_SQL}, count(*) AS m FROM synth GROUP BY ALL), j AS (SELECT m, there FROM y LEFT JOIN s ON {_SAME})
+@query(f"""WITH {BASE_SQL}, s AS (SELECT DISTINCT {_COLS_SQL}, true AS there FROM seed), y AS (SELECT {_COLS_SQL}, count(*) AS m FROM synth GROUP BY ALL), j AS (SELECT m, there FROM y LEFT JOIN s ON {_SAME})
 SELECT sum(m)::BIGINT AS n_rows, count(*) AS n_distinct, count(there) AS n_in_seed, round(count(*) / sum(m), 6) AS diversity, count(*) / sum(m) < 0.05 AS mode_collapse FROM j""")
 def diversity(spark, d):
-    return rounded(V.diversity(synth(spark, d), seed(spark, d).where("l_linenumber = 1"), _COLS))
+    return rounded(V.diversity(synth(spark, d), seed(spark, d), _COLS))
 
 
 def _hash(seed_no: int | str, columns) -> str:
@@ -56,8 +56,8 @@ def _hash(seed_no: int | str, columns) -> str:
 _P = ("o_orderkey",)
 _NN_CAT, _NN_NUM = ("o_orderstatus", "o_orderpriority"), ("o_totalprice", "day")
 _ORD = f"""o AS (SELECT *, epoch(o_orderdate) / 86400 AS day, {_hash(42, _P)} AS h FROM orders),
-ss AS (SELECT *, row_number() OVER (ORDER BY h, o_orderkey) AS at_ FROM o WHERE o_orderkey % 2 = 0 QUALIFY at_ <= 400),
-train AS (SELECT * FROM ss WHERE at_ % 2 = 1), holdout AS (SELECT * FROM ss WHERE at_ % 2 = 0), ours AS (SELECT * FROM o WHERE o_orderkey % 2 = 1 ORDER BY h, o_orderkey LIMIT 200)"""
+ss AS (SELECT *, row_number() OVER (ORDER BY h, o_orderkey) AS at_ FROM o WHERE o_orderkey % 2 = 0 QUALIFY at_ <= 4000),
+train AS (SELECT * FROM ss WHERE at_ % 2 = 1), holdout AS (SELECT * FROM ss WHERE at_ % 2 = 0), ours AS (SELECT * FROM o WHERE o_orderkey % 2 = 1 ORDER BY h, o_orderkey LIMIT 2000)"""
 
 
 def _scale(*frames: str) -> str:
@@ -80,14 +80,14 @@ def _orders(spark, d):
 @query(f"WITH {_ORD}, {_scale('ours', 'train')}, {_near('n', 'ours', 'train')} SELECT o_orderkey, round(distance, 6) AS distance FROM n")
 def gower_nn(spark, d):
     y, s = _orders(spark, d)
-    train, _ = V.disjoint_samples(s, 200, _P)
-    return rounded(V.gower_nearest(V.sample(y, 200, _P), train, _NN_CAT, _NN_NUM, _P))
+    train, _ = V.disjoint_samples(s, V.SAMPLE, _P)
+    return rounded(V.gower_nearest(V.sample(y, V.SAMPLE, _P), train, _NN_CAT, _NN_NUM, _P))
 
 
 @query(f"WITH {_ORD}, {_scale('ours', 'ours')}, {_near('n', 'ours', 'ours', True)} SELECT o_orderkey, round(distance, 6) AS distance FROM n")
 def nndr_self(spark, d):
     y, _ = _orders(spark, d)
-    ours = V.sample(y, 200, _P)
+    ours = V.sample(y, V.SAMPLE, _P)
     return rounded(V.gower_nearest(ours, ours, _NN_CAT, _NN_NUM, _P, exclude_self=True))
 
 
@@ -98,16 +98,16 @@ v AS (SELECT (CASE WHEN m1 >= m0 THEN raw ELSE 1 - raw END)::DOUBLE AS auc FROM
 SELECT round(auc, 6) AS auc, CASE WHEN auc > 0.75 THEN 'CRITICAL' WHEN auc > 0.60 THEN 'HIGH' ELSE 'LOW' END AS severity, auc <= 0.60 AS passed FROM v""")
 def mia_auc(spark, d):
     y, s = _orders(spark, d)
-    return rounded(V.membership_inference(y, s, _NN_CAT, _NN_NUM, _P, n=200))
+    return rounded(V.membership_inference(y, s, _NN_CAT, _NN_NUM, _P))
 
 
-@query(f"""WITH {_ORD}, few AS (SELECT * FROM ours ORDER BY h, o_orderkey LIMIT 100), {_scale('ours', 'train', 'holdout')}, {_near('a', 'ours', 'train')}, {_near('b', 'holdout', 'train')}, {_near('c', 'few', 'few', True)},
+@query(f"""WITH {_ORD}, few AS (SELECT * FROM ours ORDER BY h, o_orderkey LIMIT 500), {_scale('ours', 'train', 'holdout')}, {_near('a', 'ours', 'train')}, {_near('b', 'holdout', 'train')}, {_near('c', 'few', 'few', True)},
 ov AS (SELECT avg(distance) AS ms, quantile_cont(distance, 0.05) AS p5, quantile_cont(distance, 0.5) AS p50, avg((distance < 0.1)::INT) AS sb, (SELECT avg(distance) FROM b) AS mh, (SELECT avg(a.distance / greatest(c.distance, 1e-9)) FROM a JOIN c USING (o_orderkey)) AS nr FROM a)
 SELECT round(ms, 6) AS mean_synth, round(p5, 6) AS p5, round(p50, 6) AS p50, round(sb, 6) AS share_below, round(mh, 6) AS mean_holdout, round(nr, 6) AS mean_nndr, round(ms / greatest(mh, 1e-9), 6) AS dcr_ratio,
 CASE WHEN ms / greatest(mh, 1e-9) < 0.50 THEN 'HIGH' WHEN ms / greatest(mh, 1e-9) < 0.80 THEN 'MEDIUM' END AS dcr_severity, CASE WHEN nr < 0.20 THEN 'HIGH' END AS nndr_severity FROM ov""")
 def dcr_nndr(spark, d):
     y, s = _orders(spark, d)
-    return rounded(V.closest_records(y, s, _NN_CAT, _NN_NUM, _P, n=200, inner=100))
+    return rounded(V.closest_records(y, s, _NN_CAT, _NN_NUM, _P))
 
 
 def _nmi_sql(table: str, sens: str, qi: str) -> str:

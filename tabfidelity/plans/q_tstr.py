@@ -103,11 +103,23 @@ def roc_points(spark, d):
     return rounded(T.roc_points(_scores(spark, d)))
 
 
-@query("""WITH t AS (SELECT x, sin(x) AS g FROM (SELECT range / 10.0::DOUBLE AS x FROM range(100))), m AS (SELECT *, abs(g) >= 0.5 AS on_, coalesce(lag(abs(g) >= 0.5) OVER (ORDER BY x), false) AS prev FROM t),
+@query("""WITH t AS (SELECT (year(o_orderdate) * 12 + month(o_orderdate))::BIGINT AS x, round(avg((o_orderstatus = 'F')::INT) FILTER (o_orderkey % 2 = 0) - avg((o_orderstatus = 'F')::INT) FILTER (o_orderkey % 2 = 1), 6) AS g FROM orders GROUP BY 1),
+m AS (SELECT *, coalesce(abs(g) >= 0.02, false) AS on_, coalesce(lag(coalesce(abs(g) >= 0.02, false)) OVER (ORDER BY x), false) AS prev FROM t),
 i AS (SELECT *, sum((on_ AND NOT prev)::INT) OVER (ORDER BY x) AS island FROM m) SELECT island::BIGINT AS island, min(x) AS start, max(x) AS "end", count(*) AS n, round(max(abs(g)), 6) AS max_gap FROM i WHERE on_ GROUP BY 1""")
 def divergence_regions(spark, d):
-    df = spark.range(100).select((F.col("id") / 10.0).alias("x")).withColumn("g", F.sin("x"))
-    return rounded(T.divergence_regions(df, "x", "g", 0.5))
+    share = lambda rest: F.avg(F.when(F.col("o_orderkey") % 2 == rest, (F.col("o_orderstatus") == "F").cast("double")))
+    by_month = read(spark, d, "orders").groupBy((F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("long").alias("x")).agg(F.round(share(0) - share(1), 6).alias("g"))
+    return rounded(T.divergence_regions(by_month, "x", "g", 0.02))
+
+
+@query()
+def cross_validation(spark, d):
+    return T.cross_summary(T.cross_validated(_encoded(seed(spark, d)), 3, _KEY, "forest"))
+
+
+@query()
+def extended_report(spark, d):
+    return T.extended_report(_binary(seed(spark, d)), _binary(synth(spark, d)), 2, _KEY, ("forest", "logistic"))
 
 
 @query(f"WITH {_SC}, {_CUM}, r AS (SELECT *, row_number() OVER (ORDER BY cp / ap, score) - 1 AS r, count(*) OVER () AS n FROM c), k AS (SELECT DISTINCT round_even(i * (n - 1) / 19.0::DOUBLE, 0)::BIGINT AS r FROM r, range(20) q(i)) SELECT score AS threshold, round(cp / ap, 6) AS recall FROM r WHERE r IN (SELECT r FROM k)")

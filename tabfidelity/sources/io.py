@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from pathlib import Path
 from typing import Any
 
@@ -108,6 +108,17 @@ def write_json(value: Mapping[str, Any], path: str) -> None:
     Path(path).write_text(json.dumps(value, indent=2, default=str), encoding="utf-8")
 
 
+def write_csv(rows: Sequence[Mapping[str, Any]], path: str) -> None:
+    """A small report, a row per entry, with a header."""
+    import csv
+
+    Path(path).parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        out = csv.DictWriter(f, list(rows[0]) if rows else [])
+        out.writeheader()
+        out.writerows(rows)
+
+
 def append_rows(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
     """Append rows under their run's partition, so that runs can be told apart and taken back."""
     df.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").format(fmt).save(path)
