@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
         print(report.console_table(rows, ["severity", "check", "detail"]))
         auditor = _auditor(config, args.skip_llm)
         if auditor:
-            # Only statistics with noise leave the cluster: those given, or else the seed's with noise of the configured epsilon.
+            # Of the seed only statistics with noise are sent: those given, or else its own with noise of the configured epsilon. Issues have none.
             told = io.read_stats(args.stats) if args.stats else pipeline.noise_profile(spark, report.build_profile(seed, spec), config.get("dp", {}).get("epsilon", 1.0))
             out["audit"] = prompts.audit(auditor, told, rows, report.synthetic_profile(table, spec))
             print(json.dumps(out["audit"], indent=2, default=str))
