@@ -16,10 +16,12 @@ back.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,10 @@ MOST = {PLAIN: 1, PACKBITS: 64, LZW: 3641, DEFLATE: 1032, OLD_DEFLATE: 1032}
 MOST_BYTES = 1 << 30
 
 
+#: Two to 128 equal bytes.
+REPEATS = re.compile(rb"(.)\1{1,127}", re.DOTALL)
+
+
 class TiffError(ValueError):
     pass
 
@@ -49,20 +55,15 @@ BROKEN = (TiffError, struct.error, KeyError, IndexError, TypeError, ValueError,
 
 
 def packbits_encode(data: bytes) -> bytes:
-    out, i, n = bytearray(), 0, len(data)
-    while i < n:
-        run = 1
-        while run < 128 and i + run < n and data[i + run] == data[i]:
-            run += 1
-        if run > 1:
-            out += bytes((257 - run, data[i]))
-            i += run
-            continue
-        j = i + 1
-        while j < n and j - i < 128 and not (j + 1 < n and data[j] == data[j + 1]):
-            j += 1
-        out += bytes((j - i - 1,)) + data[i:j]
-        i = j
+    out, at, n = bytearray(), 0, len(data)
+    for start, end in chain((m.span() for m in REPEATS.finditer(data)), ((n, n),)):
+        for i in range(at, start, 128):
+            j = min(i + 128, start)
+            out.append(j - i - 1)
+            out += data[i:j]
+        if end > start:
+            out += bytes((257 - end + start, data[start]))
+        at = end
     return bytes(out)
 
 
@@ -80,77 +81,78 @@ def packbits_decode(data: bytes, size: int) -> bytes:
     return bytes(out)
 
 
-def _width(entries: int) -> int:
-    """Bits of the code that is written while the writer's next free entry is this one."""
-    return 9 if entries < 512 else 10 if entries < 1024 else 11 if entries < 2048 else 12
+#: Bits of the k-th LZW code after a clearing one: as many as the code of the writer's next free entry needs, 12 at most.
+LZW_BITS = np.array([9] * 254 + [10] * 512 + [11] * 1024 + [12] * 4096)
+LZW_FULL = 254 + 512 + 1024
+#: Codes that are unpacked at once.
+LZW_BLOCK = 512
 
 
 def lzw_encode(data: bytes) -> bytes:
-    table: dict[bytes, int] = {}
-    acc = bits = 0
-    out, size, word = bytearray(), 258, b""
-
-    def put(code: int, width: int) -> None:
-        nonlocal acc, bits
-        acc, bits = acc << width | code, bits + width
-        while bits >= 8:
-            bits -= 8
-            out.append(acc >> bits & 255)
-        acc &= (1 << bits) - 1
-
-    code_of = lambda w: w[0] if len(w) == 1 else table[w]
-    put(256, 9)
-    for x in data:
-        longer = word + bytes((x,))
-        if len(longer) == 1 or longer in table:
-            word = longer
-            continue
-        put(code_of(word), _width(size))
-        table[longer] = size
-        size += 1
-        if size == 4094:
-            put(256, 12)
-            table.clear()
-            size = 258
-        word = longer[-1:]
-    if word:
-        put(code_of(word), _width(size))
-        size += 1
-    put(257, _width(size))
-    if bits:
-        put(0, 8 - bits)
-    return bytes(out)
+    codes, table, size = [256], {}, 258
+    if data:
+        word = data[0]
+        for x in data[1:]:
+            longer = word << 8 | x
+            code = table.get(longer)
+            if code is not None:
+                word = code
+                continue
+            codes.append(word)
+            table[longer] = size
+            size += 1
+            word = x
+            if size == 4094:
+                codes.append(256)
+                table.clear()
+                size = 258
+        codes.append(word)
+    codes.append(257)
+    c = np.array(codes)
+    clears = np.flatnonzero(c == 256)
+    place = np.arange(len(c))
+    bits = LZW_BITS[place - np.append(0, clears + 1)[np.searchsorted(clears, place)]]
+    each = np.unpackbits((c << 16 - bits).astype(">u2").view(np.uint8)).reshape(-1, 16)
+    return np.packbits(each[np.arange(16) < bits[:, None]]).tobytes()
 
 
 def lzw_decode(data: bytes, size: int) -> bytes:
     first = [bytes((i,)) for i in range(256)] + [b"", b""]
-    table, out, total = list(first), [], 0
-    acc = bits = at = 0
-    last = b""
+    table, out, total, last = list(first), [], 0, b""
+    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
+    at = k = 0  # the bit to read next, and codes since the table was cleared
     while total < size:
-        width = _width(len(table) + bool(last))
-        while bits < width:
-            if at == len(data):
-                raise TiffError("LZW data break off")
-            acc, bits, at = (acc << 8 | data[at]) & 0xFFFFFF, bits + 8, at + 1
-        bits -= width
-        code = acc >> bits & ((1 << width) - 1)
-        if code == 257:
-            break
-        if code == 256:
-            table, last = list(first), b""
-            continue
-        if code < len(table):
-            word = table[code]
-        elif last and code == len(table):
-            word = last + last[:1]
+        bits = LZW_BITS[k : k + min(LZW_BLOCK, (8 * len(data) - at) // 9 + 1)]
+        ends = at + np.cumsum(bits)
+        n = int(np.searchsorted(ends, 8 * len(data), "right"))
+        if not n:
+            raise TiffError("LZW data break off")
+        bits, ends = bits[:n], ends[:n]
+        spot, shift = np.divmod(ends - bits, 8)
+        codes = (raw[spot] << 16 | raw[spot + 1] << 8 | raw[spot + 2]) >> (24 - shift - bits) & (1 << bits) - 1
+        signs = np.flatnonzero(codes >> 1 == 128)
+        n = int(signs[0]) if len(signs) else n
+        for code in codes[:n].tolist():
+            try:
+                word = table[code]
+            except IndexError:
+                if not last or code != len(table):
+                    raise TiffError("LZW code out of range") from None
+                word = last + last[:1]
+            if last:
+                table.append(last + word[:1])
+            out.append(word)
+            last = word
+            total += len(word)
+            if total >= size:
+                break
         else:
-            raise TiffError("LZW code out of range")
-        if last:
-            table.append(last + word[:1])
-        out.append(word)
-        total += len(word)
-        last = word
+            if not len(signs):
+                at, k = int(ends[-1]), min(k + n, LZW_FULL)
+            elif codes[n] == 257:
+                break
+            else:
+                at, k, table, last = int(ends[n]), 0, list(first), b""
     return b"".join(out)
 
 
@@ -303,14 +305,15 @@ def write_tiff(pages: list[np.ndarray], compression: int = DEFLATE, predictor: i
     for a in pages:
         h, w = a.shape
         if tile:
-            blocks = [np.pad(b, ((0, tile - b.shape[0]), (0, tile - b.shape[1]))) for y in range(0, h, tile) for x in range(0, w, tile) for b in (a[y : y + tile, x : x + tile],)]
+            whole = np.pad(a, ((0, -h % tile), (0, -w % tile)))
+            blocks = [whole[y : y + tile, x : x + tile] for y in range(0, h, tile) for x in range(0, w, tile)]
         else:
             step = rows_per_strip or h
             blocks = [a[y : y + step] for y in range(0, h, step)]
         starts, sizes = [], []
         for b in blocks:
             if predictor == 2:
-                b = np.diff(b, axis=1, prepend=np.zeros((b.shape[0], 1), b.dtype))
+                b = np.hstack((b[:, :1], b[:, 1:] - b[:, :-1]))
             raw = np.ascontiguousarray(b).tobytes()
             data = {PLAIN: lambda r: r, PACKBITS: packbits_encode, LZW: lzw_encode, DEFLATE: lambda r: zlib.compress(r, 1)}[compression](raw)
             starts.append(len(out))
