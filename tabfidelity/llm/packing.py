@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
-from .tokens import each_text, encoder
+from .tokens import CACHE_PARTS, each_text, encoder
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"
 #: Runs of a plan that are sent to every worker (40 bytes each); a longer plan is joined.
@@ -184,9 +184,9 @@ def make_plan(counts: dict[int, int], capacity: int) -> Plan:
     return plan
 
 
-def _pieces(path: str, capacity: int, end_id: int):
+def _pieces(path: str, capacity: int, end_id: int, cache_parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, task, ranks = encoder(path), TaskContext.get().partitionId(), defaultdict(int)
+        enc, task, ranks = encoder(path, cache_parts), TaskContext.get().partitionId(), defaultdict(int)
         for keys, texts in each_text(batches, ("doc_id", "text")):
             out: list[tuple] = []
             for key, found in zip(keys, enc.encode_many(texts), strict=True):
@@ -222,14 +222,15 @@ def _place(shared):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 1, key: str = "doc_id", text: str = "text", cache_parts: int = CACHE_PARTS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset for each piece.
 
     A document's ids are its text's and end_id. Only documents longer than the capacity are cut; their full pieces fill a sequence each.
+    cache_parts weighs a worker's memory against its time; results are the same.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
-    pieces = scratch.table(docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(_pieces(tokenizer, capacity, end_id), PIECE), "pieces")
+    pieces = scratch.table(docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text")).mapInArrow(_pieces(tokenizer, capacity, end_id, cache_parts), PIECE), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # `capacity` rows at most
     plan = make_plan(counts, capacity)

@@ -33,7 +33,7 @@ def op4_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096, end_id=1)
+    return packing.pack(_read(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), capacity=4096, end_id=1, cache_parts=250_000)
 
 
 def op6_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
