@@ -2,7 +2,7 @@
 
 Both the normaliser and the splitting pattern of the vocabularies used here treat white space as a border that no
 piece crosses, so a text's ids are those of its parts between ASCII white space, one after another. The parts repeat, and
-a bounded cache in each Python worker encodes most of them once. `check_border_safe` verifies this for the vocabulary
+a bounded cache in each Python worker encodes most of them once and is asked once a block of texts. `check_border_safe` verifies this for the vocabulary
 file at hand; a file that fails it is encoded whole.
 """
 
@@ -22,8 +22,12 @@ from .common import claim
 
 #: Parts of a generation of a worker's cache; 250,000 take a quarter less time and up to 300 MB more a worker.
 CACHE_PARTS = 120_000
-MARKS = b",."
+#: ASCII marks that may follow a word.
+MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 COMBINING = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]")
+#: How byte-level vocabularies write each byte but the space, which parts words here.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: b for b in _SHOWN} | {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SHOWN)} | {32: 32}
 SEPARATE = ("WhitespaceSplit", "BertPreTokenizer", "Whitespace")
 
 
@@ -60,7 +64,7 @@ class Encoder:
 
     Parts of texts are cached in two generations: a full young one becomes the old one, from which parts that come
     again are taken back, so frequent words stay and memory is bounded. Parts that are new are encoded together. A new part of Latin
-    letters, alone or before one comma or full stop, is a word or a word and a mark; many words are encoded as one text, whose
+    letters, alone or before ASCII marks, is a word or a word and its marks; many words are encoded as one text, whose
     ids are parted at the vocabulary's word ends, and as many ends as words must come back.
     """
 
@@ -84,23 +88,37 @@ class Encoder:
             self._ends[[i for piece, i in spec["model"]["vocab"].items() if piece.endswith(suffix)]] = True
         byte_level = any(x.get("type") == "ByteLevel" for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [spec.get("pre_tokenizer") or {}]))
         if self._ends.any():
-            # The same model for words alone: white space parts them, and nothing is left to normalise.
+            # The same model for words alone: spaces part them, and nothing is left to normalise. Bytes become characters before.
             self._plain = Tokenizer.from_file(path)
             self._plain.normalizer = None
-            steps = [pre_tokenizers.WhitespaceSplit()] + [pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)] * byte_level
-            self._plain.pre_tokenizer = pre_tokenizers.Sequence(steps)
+            self._plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+            self._chars = BYTE_CHARS if byte_level else None
             if not self._lower:
                 self._ends[:] = False
-        self._young: dict[bytes, bytes] = {}
+        self._marks = self._own_marks([t["content"] for t in spec.get("added_tokens", [])])
+        self._young: dict[bytes, bytes] = {b"": b""}
         self._old: dict[bytes, bytes] = {}
 
+    def _own_marks(self, added: list[str]) -> bytes:
+        """The marks whose runs this vocabulary encodes apart from a word before them; none if a special token may be a word and marks."""
+        if any(_is_word(t.encode().rstrip(MARKS) or b"a") for t in added):
+            return b""
+        runs = [r for m in MARKS for r in (chr(m), chr(m) * 2)]
+        word, *ids = self._batch(["ab", *runs, *("ab" + r for r in runs)])
+        good = [word + one == two for one, two in zip(ids[: len(runs)], ids[len(runs) :], strict=True)]
+        return bytes(m for m, a, b in zip(MARKS, good[::2], good[1::2], strict=True) if a and b)
+
     def _batch(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         """Each word's ids; words are Latin letters only. A few thousand go as one text, without the steps that do nothing to lower-case letters."""
-        texts = [b" ".join(words[i : i + 2000]).decode().lower() for i in range(0, len(words), 2000)]
-        found = self._plain.encode_batch_fast(texts, add_special_tokens=False) if self._ends.any() else []
+        found = []
+        if self._ends.any():
+            texts = [b" ".join(words[i : i + 2000]).decode().lower() for i in range(0, len(words), 2000)]
+            if self._chars:
+                texts = [t.encode().decode("latin-1").translate(self._chars) for t in texts]
+            found = self._plain.encode_batch_fast(texts, add_special_tokens=False)
         ids = np.array([i for e in found for i in e.ids], dtype=self.dtype)
         cuts = (np.flatnonzero(self._ends[ids]) + 1) * self.dtype.itemsize
         if len(cuts) != len(words):
@@ -114,10 +132,12 @@ class Encoder:
         young.update([(p, old[p]) for p in parts.intersection(old)])
         parts = parts.difference(old)
         words = set(filter(bytes.isalpha, parts))
-        marked, rest = [], []
+        marked, rest, marks = [], [], set()
         for p in parts.difference(words):
-            if p[-1] in MARKS and _is_word(w := p[:-1]):
-                marked.append((p, w))
+            if p[-1] in self._marks and _is_word(w := p.rstrip(self._marks)):
+                mark = p[len(w) :]
+                marked.append((p, w, mark))
+                marks.add(mark)
                 if w in old:
                     young[w] = old[w]
                 elif w not in young:
@@ -128,21 +148,21 @@ class Encoder:
                 rest.append(p)
         new = list(words)
         young.update(zip(new, self._words(new), strict=True))
-        rest += [m for m in (b",", b".") if m not in young]
+        rest += marks.difference(young)
         young.update(zip(rest, self._batch([r.decode("utf-8", "surrogatepass") for r in rest]), strict=True))
-        for p, w in marked:
-            young[p] = young[w] + young[p[-1:]]
+        for p, w, mark in marked:
+            young[p] = young[w] + young[mark]
 
-    def _parts(self, text: str | None) -> list[bytes]:
-        """The text between ASCII white space. A-Z are lowered here where the vocabulary does it and no combining mark follows."""
+    def _raw(self, text: str | None) -> bytes:
+        """The text in UTF-8. A-Z are lowered here where the vocabulary does it and no combining mark follows."""
         if not text:
-            return []
+            return b""
         raw = text.encode("utf-8", "surrogatepass")
         if self._lower and (len(raw) == len(text) or not COMBINING.search(text)):
             raw = raw.lower()
-        return raw.split()
+        return raw
 
-    def encode_many(self, texts: list[str | None], block: int = 256) -> Iterator[np.ndarray]:
+    def encode_many(self, texts: list[str | None], block: int = 500) -> Iterator[np.ndarray]:
         for at in range(0, len(texts), block):
             some = texts[at : at + block]
             if not self._by_part:
@@ -150,23 +170,31 @@ class Encoder:
                 continue
             gc.disable()  # nothing here makes cycles, and there are many objects to look through
             try:
-                made = self._block([self._parts(t) for t in some])
+                made = self._block([self._raw(t) for t in some])
             finally:
                 gc.enable()
-            for raw in made:
-                yield np.frombuffer(raw, self.dtype)
+            yield from made
 
-    def _block(self, parts: list[list[bytes]]) -> list[bytes]:
+    def _block(self, raws: list[bytes]) -> list[np.ndarray]:
+        """The ids of texts that are cut at ASCII white space. Arrow cuts them and numbers their parts, so a part is looked up once a block."""
         if len(self._young) > self.parts:
-            self._young, self._old = {}, self._young
+            self._young, self._old = {b"": b""}, self._young
         young = self._young
-        found = [list(map(young.get, p)) for p in parts]
-        gaps = [[k for k, f in enumerate(x) if f is None] if None in x else [] for x in found]
-        self._learn({p[k] for p, g in zip(parts, gaps, strict=True) for k in g})
-        for p, x, g in zip(parts, found, gaps, strict=True):
-            for k in g:
-                x[k] = young[p[k]]
-        return [b"".join(x) for x in found]
+        cut = pc.ascii_split_whitespace(pa.array(raws, pa.large_binary()).view(pa.large_string()))
+        coded = cut.values.dictionary_encode()
+        which = coded.indices.to_numpy()
+        parts = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        self._learn(set(parts).difference(young))
+        found = list(map(young.__getitem__, parts))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        each = sizes[which]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        shift = (np.cumsum(sizes) - sizes)[which] - upto[:-1]  # from a place among the ids here to that among the parts' ids
+        at = np.repeat(shift, each)
+        at += np.arange(len(at))
+        ids = np.frombuffer(b"".join(found), self.dtype)[at]
+        ends = upto[cut.offsets.to_numpy()].tolist()
+        return [ids[i:j] for i, j in zip(ends, ends[1:], strict=False)]
 
 
 def _is_word(part: bytes) -> bool:

@@ -1,5 +1,6 @@
 """Token, packing, media, url and sharding operators against brute force and round trips, and the pipeline."""
 
+import json
 import math
 import random
 import struct
@@ -224,6 +225,26 @@ def lattice_nbest(m, text, n):
     return found[-1]
 
 
+def test_words_before_marks_are_encoded_without_the_whole_tokenizer():
+    enc, asked = tokens.Encoder(WORDS), []
+    batch = enc._batch
+    enc._batch = lambda texts: asked.extend(texts) or batch(texts)
+    texts = ["Lorem!! ipsum; dolor?! (sit) amét... x'' y's 3!! <|endoftext|>! a_b", "lorem!! Dolor?! ipsum;"]
+    assert [x.tolist() for x in enc.encode_many(texts)] == library_ids(texts)
+    assert not {"lorem!!", "ipsum;", "dolor?!", "amét...", "x''"} & set(asked)
+    assert len(asked) == len(set(asked))
+    every = [f"{w}{a}{b}{c}" for w in ("ab", "É", "the") for a in map(chr, tokens.MARKS) for b in ("", "!", "'", "_") for c in ("", "s", "t", "3", "é", "\u0301")]
+    assert [x.tolist() for x in tokens.Encoder(WORDS).encode_many(every)] == library_ids(every)
+
+
+def test_marks_that_a_vocabulary_joins_to_words_are_not_parted(tmp_path):
+    spec = json.load(open(WORDS, encoding="utf-8"))
+    spec["added_tokens"].append({"id": 49408, "content": "ab!", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True})
+    (tmp_path / "v.json").write_text(json.dumps(spec), encoding="utf-8")
+    enc = tokens.Encoder(str(tmp_path / "v.json"))
+    assert next(enc.encode_many(["ab! cab!!"])).tolist() == enc._tok.encode("ab! cab!!", add_special_tokens=False).ids
+
+
 VOCAB = ["the", "cat", "banana", "on", "a", "xyzzy", "==", "====", "===", "naïve", "漢字漢字", "....", "\n", "hello,", "a\nb", "éé", "123", "x漢a漢b", "\x01q", "😀"]
 
 
