@@ -12,7 +12,7 @@ is found with one jump pointer a node, so a line of one character a hundred thou
 
 No piece reaches over two neighbours that stand side by side in no piece, so a text's lattice is a chain of smaller ones:
 of words, which start at space marks (checked when a model is loaded; a model without this has its texts searched
-whole), and of segments in words. A forward pass with the two best scores of each node gives a segment's best path and the
+whole) and at signs that no piece has after a letter, and of segments in words. A forward pass with the two best scores of each node gives a segment's best path and the
 loss of its next one, once while a bounded cache holds it. The N best of a chain are among the sums of its parts' N best, and only
 the N - 1 parts with the least first losses can matter: for these alone A* is run. Of parts with equal first losses, those matter whose change
 moves the ids down and that stand first, and those whose change moves the ids up and that stand last.
@@ -34,6 +34,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from operator import add, itemgetter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -171,11 +172,25 @@ class Model:
                     node[c] = ({}, None, 0.0)
                 node = node[c][0]
             node[p[-1]] = (node[p[-1]][0] if p[-1] in node else {}, (k,), self.scores[k])
+        # All pieces that match in a text, by the place where they end, for texts whose characters are all pieces themselves.
+        self._matches = ahocorasick.Automaton()
+        for p, k in self.ids.items():
+            self._matches.add_word(p, (len(p), self.scores[k], k))
+        if self.ids:
+            self._matches.make_automaton()
+        self._covered = {p for p in self.ids if len(p) == 1}
         # Neighbours inside pieces: between other neighbours no piece reaches over.
         self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.by_word = not any(x[0] != MARK and x[1] == MARK for x in self.inside)
         feed = not any("\n" in x for x in self.ids)
-        self._cut = re.compile(rf"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n" if feed else rf"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        # Signs that no piece has right after a character that is neither such a sign nor a mark: words are cut before a run of them.
+        signs = {c for x in self.inside for c in x if not c.isalpha() and not c.isdecimal()} - {MARK, "\n"}
+        while apart := {x[1] for x in self.inside if x[1] in signs and x[0] not in signs and x[0] != MARK}:
+            signs -= apart
+        self.signs = "".join(sorted(signs))
+        word, line = f"[^{MARK}{re.escape(self.signs)}" + r"\n" * feed + "]", r"|\n" * feed
+        run = f"[{re.escape(self.signs)}]"
+        self._cut = re.compile(f"{MARK}+{run}*{word}*|{run}+{word}*|{word}+{line}" if signs else f"{MARK}+{word}*|{word}+{line}")
         # What a piece stands for, and those that need more than that: control pieces and bytes of longer characters.
         self._plain = [chr(int(p[3:5], 16)) if k == BYTE else p for p, k in zip(self.pieces, self.kinds, strict=True)]
         self._apart = np.array([k == CONTROL or k == BYTE and int(p[3:5], 16) > 127 for p, k in zip(self.pieces, self.kinds, strict=True)])
@@ -212,6 +227,37 @@ class Model:
 
     def best(self, text: str) -> tuple[tuple[int, ...], float, float]:
         """The best ids of a lattice, their score, and the loss of the next best (infinite if there is none): the forward pass with two scores a node."""
+        if not self._covered.issuperset(text):
+            return self._best_with_bytes(text)
+        n = len(text)
+        # By the last character of a way; what is before the first character stands at the end, which is place -1.
+        first, second, back = [-INF] * n + [0.0], [-INF] * (n + 1), [None] * n
+        for j, (size, score, k) in self._matches.iter(text):  # whatever reaches a place before j has been seen
+            i = j - size
+            v = first[i] + score
+            if v > first[j]:
+                w = second[i] + score
+                second[j] = first[j] if first[j] > w else w
+                first[j], back[j] = v, (i, k)
+            elif v > second[j]:
+                second[j] = v
+        top, next_ = first[n - 1], second[n - 1]
+        if next_ >= top:
+            return self._told_apart(text)
+        way, j = [], n - 1
+        while j >= 0:
+            j, k = back[j]
+            way.append(k)
+        way.reverse()
+        return tuple(way), top, top - next_
+
+    def _told_apart(self, text: str) -> tuple[tuple[int, ...], float, float]:
+        """Like best, for equal scores, which are told apart by ids."""
+        (score, ids), *more = self.nbest(text, 2)
+        return ids, score, score - more[0][0]
+
+    def _best_with_bytes(self, text: str) -> tuple[tuple[int, ...], float, float]:
+        """Like best, where some characters are no pieces."""
         n, root = len(text), self.trie
         first, second, back = [-INF] * (n + 1), [-INF] * (n + 1), [None] * (n + 1)
         first[0] = 0.0
@@ -237,9 +283,8 @@ class Model:
                     first[j], back[j] = top + score, (i, ids)
                 else:
                     second[j] = max(second[j], top + score)
-        if second[-1] >= first[-1]:  # equal scores are told apart by ids
-            (score, ids), *more = self.nbest(text, 2)
-            return ids, score, score - more[0][0]
+        if second[-1] >= first[-1]:
+            return self._told_apart(text)
         way, j = [], n
         while j:
             j, ids = back[j]
@@ -288,7 +333,7 @@ class Model:
             score, j, _, rest, after = queue.pop(0)
 
     def words(self, text: str) -> list[str]:
-        """The parts of a normalised text that no piece reaches over: marks and what follows them, and line feeds."""
+        """The parts of a normalised text that no piece reaches over: marks and what follows them, signs and what follows them, and line feeds."""
         return self._cut.findall(text) if self.by_word else [text] if text else []
 
     def segments(self, word: str) -> list[str]:
@@ -394,10 +439,10 @@ class Encoder:
         return self.model.segments(word) if self.model.by_word else [word]
 
     def _word(self, word: str) -> Best:
-        made = self._segments.each(self._cut(word))
-        if len(made) == 1:
-            return made[0]
-        ids, scores, losses = zip(*made)
+        segments = self._cut(word)
+        if len(segments) == 1:
+            return self._segment(word)
+        ids, scores, losses = zip(*self._segments.each(segments))
         return b"".join(ids), sum(scores), min(losses)
 
     def _segment_choices(self, segment: str) -> Options:

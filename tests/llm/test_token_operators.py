@@ -532,3 +532,14 @@ def test_pipeline(spark, sf_dir):
     assert packed.where("n > 4096").count() == 0 and out.select("doc_id").distinct().count() == kept[-1]
     n = out.count()  # the next run removes the working tables of this one
     assert corpus_pipeline.run(spark, sf_dir).count() == n
+
+
+def test_words_are_cut_before_signs_and_matched_pieces_give_the_same_best():
+    enc, rng = sentencepiece_nbest.Encoder(PIECES, 4), random.Random(3)
+    m = enc.model
+    assert m.words("▁the▁cat,▁(sat)▁on▁▁it's.\n▁x!!y") == ["▁the", "▁cat", ",", "▁(sat", ")", "▁on", "▁▁it", "'s", ".", "\n", "▁x", "!!y"]
+    for _ in range(300):
+        text = "".join(rng.choice("thean▁\n,.!'—²漢😀") for _ in range(rng.randint(1, 14)))
+        assert "".join(m.words(text)) == text
+        assert m.best(text) == m._best_with_bytes(text)
+        assert enc.nbest_of(text) == [(s, struct.pack(f"<{len(i)}I", *i)) for s, i in m.nbest(text, 4)]
